@@ -42,6 +42,10 @@ def outside_range(
     return outside | column.isNull() if keep_null else outside
 
 
-def has_rows(df: DataFrame, name: str) -> DataFrame:
-    """One row that says whether ``df`` has any; the scan stops at the first."""
-    return df.limit(1).agg((F.count(F.lit(1)) > 0).alias(name))
+def has_rows(df: DataFrame) -> bool:
+    """Whether ``df`` has any row.
+
+    Spark looks at one partition, then at more, and stops at the first row,
+    where a count would read them all.
+    """
+    return not df.isEmpty()

@@ -34,7 +34,7 @@ def join_by(
     right: DataFrame,
     on: Column | str | Sequence[str],
     method: str,
-    broadcast_rows: int = 1_000_000,
+    broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Inner join with a requested method.
 
@@ -49,8 +49,8 @@ def join_by(
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; reads no further than that."""
-    return df.select().limit(rows + 1).count() <= rows
+    """Whether ``df`` has no more than ``rows`` rows, by a map-side count."""
+    return df.count() <= rows
 
 
 def pair_with_few(rows: DataFrame, few: DataFrame, max_few: int = 1_000) -> DataFrame:
@@ -60,12 +60,9 @@ def pair_with_few(rows: DataFrame, few: DataFrame, max_few: int = 1_000) -> Data
     in place, so ``rows`` is neither shuffled nor joined.  A longer list is
     refused, because the result would grow with the product of both sizes.
     """
-    listed = few.limit(max_few + 1).agg(
-        F.collect_list(F.struct(*few.columns)).alias("items")
-    )
-    items = listed.first()["items"]
-    if len(items) > max_few:
+    if not at_most(few, max_few):
         raise ValueError(f"the smaller side has more than {max_few} rows")
+    items = few.collect()
     fields = few.schema.fields
     constant = F.array(
         *[

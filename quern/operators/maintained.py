@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,42 +10,51 @@ from pyspark.sql import functions as F
 ROWS = "n_rows"
 
 
-def build_view(rows: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    """Group sums plus the number of rows behind each group."""
-    return rows.groupBy(*keys).agg(
-        *[F.sum(expr).alias(name) for name, expr in sums.items()],
-        F.count(F.lit(1)).alias(ROWS),
+def _contributions(
+    rows: DataFrame, keys: Sequence[str], sums: Mapping[str, Column], sign: int
+) -> DataFrame:
+    """What each row adds to its group, with ``sign`` -1 for removed rows."""
+    amounts = {**sums, ROWS: F.lit(1).cast("bigint")}
+    if sign < 0:
+        amounts = {name: -amount for name, amount in amounts.items()}
+    return rows.select(*keys, *[a.alias(n) for n, a in amounts.items()])
+
+
+def merge_parts(
+    parts: DataFrame, keys: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    """Add up partial rows per group; a group without rows disappears."""
+    return (
+        parts.groupBy(*keys)
+        .agg(*[F.sum(n).alias(n) for n in [*names, ROWS]])
+        .filter(F.col(ROWS) != 0)
     )
 
 
+def build_view(
+    rows: DataFrame, keys: Sequence[str], sums: Mapping[str, Column]
+) -> DataFrame:
+    """Group sums plus the number of rows behind each group."""
+    return merge_parts(_contributions(rows, keys, sums, 1), keys, list(sums))
+
+
 def apply_delta(
     view: DataFrame,
     keys: Sequence[str],
-    sums: dict[str, Column],
+    sums: Mapping[str, Column],
     inserted: DataFrame | None = None,
     deleted: DataFrame | None = None,
 ) -> DataFrame:
     """New state of the view after rows were inserted and deleted.
 
-    Only the deltas are aggregated; deleted rows count negative.  A group whose
-    row count reaches zero disappears, which the sums alone could not tell.
+    Stored groups and signed delta rows meet in one aggregation, which combines
+    them map-side and shuffles once.  The row count tells when a group is gone,
+    which the sums alone could not.  The summed expressions must not be NULL: a
+    stored sum cannot tell an unknown amount from zero.
     """
-    names = [*sums, ROWS]
-    parts = view.select(*keys, *names)
+    parts = view.select(*keys, *sums, ROWS)
     if inserted is not None:
-        parts = parts.unionByName(build_view(inserted, keys, sums))
+        parts = parts.unionByName(_contributions(inserted, keys, sums, 1))
     if deleted is not None:
-        gone = build_view(deleted, keys, sums)
-        parts = parts.unionByName(
-            gone.select(*keys, *[(-F.col(n)).alias(n) for n in names])
-        )
-    return merge_parts(parts, keys, names)
-
-
-def merge_parts(parts: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Add up partial rows of the view."""
-    return (
-        parts.groupBy(*keys)
-        .agg(*[F.sum(n).alias(n) for n in names])
-        .filter(F.col(ROWS) != 0)
-    )
+        parts = parts.unionByName(_contributions(deleted, keys, sums, -1))
+    return merge_parts(parts, keys, list(sums))

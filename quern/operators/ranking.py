@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,7 +68,8 @@ def top_numbered(
     """
     order = sort_columns(terms)
     best = df.orderBy(*order).limit(count)
-    return best.withColumn(column, F.row_number().over(Window.orderBy(*order)))
+    number = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+    return best.withColumn(column, number)
 
 
 def _precedes(left: Column, right: Column, terms: Sequence[Term]) -> Column:
@@ -119,45 +121,54 @@ def top_with_position(
     )
 
 
+def frequent_groups(
+    df: DataFrame, group: Sequence[str], rows: int, most: int = 1_000
+) -> list[int]:
+    """Hashes of the groups that may have more than ``rows`` rows.
+
+    One map-side sketch of frequent items, without a shuffle of the rows.  It is
+    only used to choose a plan, so neither an estimate that is a little off nor
+    two groups with one hash can change a result.
+    """
+    sketch = F.call_function(
+        "approx_top_k", F.xxhash64(*group), F.lit(most), F.lit(100 * most)
+    )
+    found = df.select(*group).agg(sketch.alias("items")).first()["items"]
+    return [item["item"] for item in found or [] if item["count"] > rows]
+
+
 def number_within(
     df: DataFrame,
     group: Sequence[str],
     terms: Sequence[Term],
     column: str = "row_number",
     hot_rows: int = 10_000_000,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group in a total order.
 
     Groups of ordinary size use a window.  A group with more than ``hot_rows``
     rows would keep one task busy alone, so such groups are range-partitioned by
-    their order and numbered through :func:`global_positions`.
+    their order and numbered through :func:`global_positions`.  ``sized_by`` may
+    name a cheaper source of the same groups, at least as large, to find them.
     """
     order = sort_columns(terms)
     window = Window.partitionBy(*group).orderBy(*order)
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = sizes.filter(F.col("__rows") > hot_rows).select(
-        *[F.col(g).alias(f"__{g}") for g in group]
-    )
-    if hot.isEmpty():
-        return df.withColumn(column, F.row_number().over(window))
-
-    hot = materialize(hot, "hot-groups")
-    same = None
-    for g in group:
-        pair = F.col(g).eqNullSafe(F.col(f"__{g}"))
-        same = pair if same is None else same & pair
-    calm = df.join(hot, same, "left_anti")
-    numbered = calm.withColumn(column, F.row_number().over(window))
-
-    placed = global_positions(
-        df.join(hot, same, "left_semi"),
-        [*sort_columns([(g, False) for g in group]), *order],
-        "__position",
-    )
+    number = F.row_number().over(window).cast("bigint")
+    hot = frequent_groups(df if sized_by is None else sized_by, group, hot_rows)
+    if not hot:
+        return df.withColumn(column, number)
+
+    is_hot = F.xxhash64(*group).isin(hot)
+    numbered = df.filter(~is_hot).withColumn(column, number)
+
+    in_group_order = [*sort_columns([(g, False) for g in group]), *order]
+    placed = global_positions(df.filter(is_hot), in_group_order, "__position")
     starts = placed.groupBy(*[F.col(g).alias(f"__{g}") for g in group]).agg(
         F.min("__position").alias("__first")
     )
-    spread = placed.join(starts, same).select(
-        *df.columns, (F.col("__position") - F.col("__first") + 1).cast("int").alias(column)
+    same = reduce(
+        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
     )
-    return numbered.unionByName(spread)
+    place = (F.col("__position") - F.col("__first") + 1).alias(column)
+    return numbered.unionByName(placed.join(starts, same).select(*df.columns, place))

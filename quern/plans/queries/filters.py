@@ -93,7 +93,7 @@ def filter_suffix(spark: SparkSession, t: Tables) -> DataFrame:
     return t.part.filter(text_suffix(F.col("p_name"), "anvil"))
 
 
-@query("SELECT page_id, url FROM pages WHERE html LIKE '%lang="fr"%'")
+@query("""SELECT page_id, url FROM pages WHERE html LIKE '%lang="fr"%'""")
 def filter_contains(spark: SparkSession, t: Tables) -> DataFrame:
     return t.pages.filter(text_contains(F.col("html"), 'lang="fr"')).select("page_id", "url")
 
@@ -192,13 +192,11 @@ def filter_cast_literal(spark: SparkSession, t: Tables) -> DataFrame:
     """
 )
 def exists_flag(spark: SparkSession, t: Tables) -> DataFrame:
-    probes = [
-        has_rows(t.lineitem.filter(F.col("l_quantity") == q), "record_exists").select(
-            F.lit(f"quantity {q}").alias("probe"), "record_exists"
-        )
+    found = [
+        (f"quantity {q}", has_rows(t.lineitem.filter(F.col("l_quantity") == q)))
         for q in (1, 51)
     ]
-    return probes[0].unionByName(probes[1])
+    return spark.createDataFrame(found, "probe string, record_exists boolean")
 
 
 @query(

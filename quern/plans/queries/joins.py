@@ -17,6 +17,7 @@ from quern.operators.joins import (
     where_key_exists,
 )
 from quern.plans.registry import query
+from quern.plans.table_functions import register_table_functions
 from quern.sources.tables import Tables
 
 
@@ -105,22 +106,16 @@ def join_composite(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
-@query(
-    """
+_SKEW_SQL = """
     WITH a AS (SELECT o_orderkey, CASE WHEN o_orderkey = 42 THEN 1 ELSE 2 END AS c FROM orders),
          b AS (SELECT l_orderkey, l_linenumber,
                       CASE WHEN l_orderkey = 42 THEN 2 ELSE 1 END AS d FROM lineitem)
-    SELECT c, o_orderkey, l_orderkey, l_linenumber FROM a JOIN b ON c = d WHERE c = 1
-    UNION ALL
-    SELECT c, o_orderkey, l_orderkey, l_linenumber FROM a JOIN b ON c = d WHERE c = 2
-    """
-)
-def join_skew(spark: SparkSession, t: Tables) -> DataFrame:
-    """Opposite skew: one key is rare on the left and frequent on the right.
+    SELECT c, o_orderkey, l_orderkey, l_linenumber FROM a JOIN b ON c = d {where}
+"""
 
-    The filter on one side's key reaches the other side, and adaptive execution
-    splits the partition of the frequent key.
-    """
+
+def _opposite_skew(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Key 1 is rare on the left and frequent on the right, key 2 the reverse."""
     left = t.orders.select(
         "o_orderkey", F.when(F.col("o_orderkey") == 42, 1).otherwise(2).alias("c")
     )
@@ -128,11 +123,33 @@ def join_skew(spark: SparkSession, t: Tables) -> DataFrame:
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_orderkey") == 42, 2).otherwise(1).alias("d"),
     )
+    return left, right
+
+
+@query(_SKEW_SQL.format(where=""))
+def join_skew(spark: SparkSession, t: Tables) -> DataFrame:
+    """Adaptive execution splits the partition of a frequent key by map task and
+    pairs every piece with the few rows of the other side."""
+    left, right = _opposite_skew(t)
     return left.join(right, F.col("c") == F.col("d")).select(
         "c", "o_orderkey", "l_orderkey", "l_linenumber"
     )
 
 
+@query(_SKEW_SQL.format(where="WHERE c = 2"))
+def join_skew_one_key(spark: SparkSession, t: Tables) -> DataFrame:
+    """One key only, so it is filtered on both sides before the join.
+
+    For a computed key the optimizer does not carry the filter over by itself.
+    What is left of the rare side is small, and is broadcast once that is known.
+    """
+    left, right = _opposite_skew(t)
+    both = left.filter(F.col("c") == 2).join(
+        right.filter(F.col("d") == 2), F.col("c") == F.col("d")
+    )
+    return both.select("c", "o_orderkey", "l_orderkey", "l_linenumber")
+
+
 @query(
     """
     SELECT l_orderkey, l_partkey, p_name, p_size
@@ -203,3 +220,36 @@ def join_hints(spark: SparkSession, t: Tables) -> DataFrame:
         for method in METHODS
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    """
+    SELECT c_custkey, c_name, o_orderkey AS order_id, o_totalprice AS amount
+    FROM customer JOIN orders ON o_custkey = c_custkey
+    """
+)
+def apply_lateral(spark: SparkSession, t: Tables) -> DataFrame:
+    register_table_functions(spark, t)
+    t.register("customer")
+    return spark.sql(
+        """
+        SELECT c_custkey, c_name, f.order_id, f.amount
+        FROM customer, LATERAL orders_of(c_custkey) AS f
+        """
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, l_partkey AS line_part, l_quantity AS quantity
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    """
+)
+def apply_lateral_outer(spark: SparkSession, t: Tables) -> DataFrame:
+    register_table_functions(spark, t)
+    return spark.sql(
+        """
+        SELECT o_orderkey, f.line_part, f.quantity
+        FROM orders LEFT JOIN LATERAL lines_of(o_orderkey) AS f
+        """
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern.operators import layout
 from quern.operators.aggregates import column_profile as profile, predicate_share as shares
 from quern.plans.registry import query
-from quern.session import shared_folder
+from quern.session import materialize, shared_folder
 from quern.sources.tables import Tables
 
 
@@ -123,7 +123,7 @@ def layout_report(spark: SparkSession, t: Tables) -> DataFrame:
     before = layout.layout_report(stored, "l_returnflag", target).select(
         "l_returnflag", F.col("action").alias("first_action")
     )
-    before = spark.createDataFrame(before.collect(), before.schema)
+    before = materialize(before, "layout-report")
     layout.compact(stored, path, "l_returnflag", target)
     after = layout.layout_report(spark.read.parquet(path), "l_returnflag", target)
     return after.join(before, "l_returnflag").select(

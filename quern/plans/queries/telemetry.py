@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.numeric import cents, sum_amount
+from quern.operators.filters import text_prefix, text_suffix
 from quern.plans import telemetry
 from quern.plans.registry import query
 from quern.plans.telemetry import BATCH_EVENT, CALL_EVENT
@@ -151,6 +152,26 @@ def apply_lookup(spark: SparkSession, t: Tables) -> DataFrame:
     return telemetry.cost_with_text(t.events, "user_id", sums, texts, on).drop("c_custkey")
 
 
+@query(
+    """
+    SELECT c_name AS text, executions
+    FROM (SELECT user_id, count(*) AS executions FROM events GROUP BY user_id)
+    JOIN customer ON c_custkey = user_id
+    WHERE c_name LIKE 'Customer#00000001%' OR c_name LIKE '%99'
+    """
+)
+def reuse_by_text(spark: SparkSession, t: Tables) -> DataFrame:
+    texts = t.customer.select("c_custkey", F.col("c_name").alias("text"))
+    on = F.col("user_id") == F.col("c_custkey")
+    usage = telemetry.cost_with_text(
+        t.events, "user_id", {"executions": F.count(F.lit(1))}, texts, on
+    )
+    wanted = text_prefix(F.col("text"), "Customer#00000001") | text_suffix(
+        F.col("text"), "99"
+    )
+    return usage.filter(wanted).select("text", "executions")
+
+
 @query(
     """
     SELECT event_id, user_id, c_name AS text, executions, total_value

@@ -123,16 +123,18 @@ def order_lines(t: Tables, order: int | None = None) -> DataFrame:
 
     Without an order key all orders are numbered.
     """
+    items = optional_equals(t.lineitem, "l_orderkey", order)
     lines = (
-        optional_equals(t.lineitem, "l_orderkey", order)
-        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        items.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .select("l_orderkey", "l_shipdate", "l_extendedprice", "l_partkey", "p_name")
     )
     # The ship date is not unique; the other output columns settle ties.
     terms = [
         (c, False) for c in ("l_shipdate", "l_extendedprice", "l_partkey", "p_name")
     ]
-    numbered = number_within(lines, ["l_orderkey"], terms, "line_number")
+    numbered = number_within(
+        lines, ["l_orderkey"], terms, "line_number", sized_by=items
+    )
     shown = numbered.select("l_orderkey", "line_number", "p_name", "l_extendedprice")
     return shown.orderBy("p_name", "l_orderkey", "line_number")
 

@@ -32,10 +32,14 @@ def by_event(name: Column, texts: dict[str, Column]) -> Column:
 
 def shred_events(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """Typed columns from event documents; a missing node gives NULL."""
-    parsed = payloads.select(parse_event(F.col(payload)).alias("event"))
+    return shred_parsed(payloads.select(parse_event(F.col(payload)).alias("event")))
+
+
+def shred_parsed(events: DataFrame) -> DataFrame:
+    """Typed columns from parsed documents in column ``event``."""
     event = F.col("event")
     name = event["_name"]
-    return parsed.select(
+    return events.select(
         name.alias("event_name"),
         *[event_field(event, m, "bigint").alias(m) for m in MEASURES],
         by_event(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.xml import event_xml
+from quern.functions.xml import EVENT_SCHEMA, event_xml
 
 
 def write_event_lines(
@@ -19,3 +19,9 @@ def write_event_lines(
 def read_event_lines(spark: SparkSession, pattern: str) -> DataFrame:
     """Raw payloads of all files that match ``pattern``, in column ``payload``."""
     return spark.read.text(pattern).select(F.col("value").alias("payload"))
+
+
+def read_event_documents(spark: SparkSession, pattern: str) -> DataFrame:
+    """Parsed events of files whose documents span lines, in column ``event``."""
+    rows = spark.read.format("xml").option("rowTag", "event").schema(EVENT_SCHEMA)
+    return rows.load(pattern).select(F.struct("_name", "data").alias("event"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from quern.operators.maintained import ROWS, build_view, merge_parts
+from quern.operators.maintained import build_view, merge_parts
 
 
 class LiveView:
@@ -43,4 +43,4 @@ class LiveView:
     def read(self) -> DataFrame:
         """Current state of the view."""
         parts = self.spark.read.parquet(self.path)
-        return merge_parts(parts, self.keys, [*self.sums, ROWS])
+        return merge_parts(parts, self.keys, list(self.sums))
