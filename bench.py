@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 import quern.plans.queries  # noqa: F401
 from quern.plans.registry import REGISTRY
-from quern.session import build_session
+from quern.session import build_session, clear_shared
 
 HEADLINE = (
     "join_star3",
@@ -65,6 +65,7 @@ def main() -> None:
             if run:  # the first run warms up
                 seconds.append(time.perf_counter() - started)
         timings[name] = round(statistics.median(seconds), 4)
+    clear_shared(spark)
     spark.stop()
     print(
         json.dumps(

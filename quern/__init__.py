@@ -5,7 +5,7 @@ with the DataFrame or SQL API, so Catalyst and adaptive execution choose the
 physical strategy.
 """
 
-from quern.session import build_session, shared_folder
+from quern.session import build_session, clear_shared, shared_folder
 from quern.sources.tables import Tables
 
-__all__ = ["Tables", "build_session", "shared_folder"]
+__all__ = ["Tables", "build_session", "clear_shared", "shared_folder"]

@@ -18,17 +18,17 @@ def escape(text: Column) -> Column:
 
 
 def event_xml(name: Column, fields: dict[str, Column]) -> Column:
-    """Build one event document; fields that are NULL are left out."""
+    """Build one event document from escaped parts; NULL fields are left out."""
     nodes = [
         F.concat(
             F.lit(f'<data name="{field}"><value>'),
-            escape(value.cast("string")),
+            value.cast("string"),
             F.lit("</value></data>"),
         )
         for field, value in fields.items()
     ]
     return F.concat_ws(
-        "", F.concat(F.lit('<event name="'), escape(name), F.lit('">')), *nodes,
+        "", F.concat(F.lit('<event name="'), name, F.lit('">')), *nodes,
         F.lit("</event>"),
     )
 

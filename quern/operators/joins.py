@@ -79,17 +79,29 @@ def pair_with_few(rows: DataFrame, few: DataFrame, max_few: int = 1_000) -> Data
     )
 
 
-def latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
+def latest_per_key(
+    rows: DataFrame,
+    key: str,
+    order: str,
+    keyed: DataFrame | None = None,
+    keyed_key: str | None = None,
+) -> DataFrame:
     """Rows that hold the highest ``order`` value of their key, ties included.
 
-    The maximum is aggregated map-side first, and the join back is on both
-    columns, so the rows of one hot key spread over the partitions.
+    With ``keyed``, whose ``keyed_key`` is unique, only its keys are kept and its
+    columns are added; it is joined to the aggregate, not to the rows.  The
+    maximum is aggregated map-side first, and the join back is on both columns,
+    so the rows of one hot key spread over the partitions.
     """
     latest = rows.groupBy(F.col(key).alias("__key")).agg(
         F.max(order).alias("__latest")
     )
+    added: list[str] = []
+    if keyed is not None:
+        latest = latest.join(keyed, F.col("__key") == F.col(keyed_key))
+        added = keyed.columns
     matches = (F.col(key) == F.col("__key")) & (F.col(order) == F.col("__latest"))
-    return rows.join(latest, matches, "left_semi")
+    return rows.join(latest, matches).select(*rows.columns, *added)
 
 
 def unique_names(df: DataFrame, prefix: str) -> DataFrame:

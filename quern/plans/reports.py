@@ -144,28 +144,21 @@ def latest_transactions(
 ) -> DataFrame:
     """Latest lines (highest order key) per part, if dated after ``since``.
 
-    The name pattern restricts the parts before the maximum is taken, the date
-    applies to the latest lines only.
+    The name pattern picks parts.  The date applies to the latest lines only: a
+    part whose latest line is older gives no row.
     """
-    lines = t.lineitem
     parts = t.part.select("p_partkey", "p_name")
     if name is not None:
         parts = parts.filter(F.col("p_name").like(name))
-        lines = lines.join(
-            parts, F.col("l_partkey") == F.col("p_partkey"), "left_semi"
-        )
-    lines = lines.select(
+    lines = t.lineitem.select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity",
         "l_shipdate",
     )
-    latest = latest_per_key(lines, "l_partkey", "l_orderkey")
-    return (
-        latest.filter(F.col("l_shipdate") > F.lit(since).cast("timestamp_ntz"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            "p_partkey", "p_name", "l_orderkey", "l_linenumber", "l_returnflag",
-            "l_quantity",
-        )
+    latest = latest_per_key(lines, "l_partkey", "l_orderkey", parts, "p_partkey")
+    return latest.filter(
+        F.col("l_shipdate") > F.lit(since).cast("timestamp_ntz")
+    ).select(
+        "p_partkey", "p_name", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"
     )
 
 

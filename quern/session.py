@@ -64,6 +64,13 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{_shared_root(spark)}/quern/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def clear_shared(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder."""
+    path = f"{_shared_root(spark)}/quern/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from quern.functions.xml import EVENT_SCHEMA, event_xml
+from quern.functions.xml import EVENT_SCHEMA, escape, event_xml
 
 
 def write_event_lines(
     df: DataFrame, path: str, name: Column, fields: dict[str, Column]
 ) -> str:
     """Write one event per row of ``df``; a NULL field leaves its node out."""
-    df.select(event_xml(name, fields).alias("value")).write.text(path)
+    typed = df.select(
+        name.alias("__name"), *[value.alias(f) for f, value in fields.items()]
+    )
+    # Only text can hold characters that XML reserves.
+    nodes = {
+        f: escape(F.col(f)) if isinstance(typed.schema[f].dataType, StringType) else F.col(f)
+        for f in fields
+    }
+    event = event_xml(escape(F.col("__name")), nodes)
+    typed.select(event.alias("value")).write.text(path)
     return path
 
 

@@ -169,3 +169,30 @@ def test_table_functions(spark, tables):
     register_table_functions(spark, tables)
     expected = tables.orders.filter("o_custkey = 42").count()
     assert spark.sql("SELECT * FROM orders_of(42)").count() == expected > 0
+
+
+def test_clear_shared_folder(spark):
+    from quern.session import clear_shared
+
+    path = shared_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    clear_shared(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from quern.session import _shared_root
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        _shared_root(Session())
