@@ -115,8 +115,12 @@ def compact(
     listed = report.filter(F.col("action") != "keep").select(partition).collect()
     values = [row[partition] for row in listed]
     if values:
+        key = F.col(partition)
+        wanted = key.isin([v for v in values if v is not None])
+        if None in values:
+            wanted = wanted | key.isNull()
         (
-            df.filter(F.col(partition).isin(values))
+            df.filter(wanted)
             .hint("rebalance", partition)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

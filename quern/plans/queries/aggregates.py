@@ -210,10 +210,11 @@ def agg_view(spark: SparkSession, t: Tables) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query(_VIEW_SQL.format(where="WHERE l_returnflag IN ('N', 'R') AND l_partkey <> 776"))
+@query(_VIEW_SQL.format(where="WHERE l_returnflag IN ('N', 'R') AND l_partkey IS DISTINCT FROM 776"))
 def agg_view_delta(spark: SparkSession, t: Tables) -> DataFrame:
     """View over flags N and A; then R lines arrive, A lines and part 776 leave."""
     flag, part = F.col("l_returnflag"), F.col("l_partkey")
+    loaded = t.lineitem.filter(flag.isin("N", "A", "R"))
     path = shared_folder(spark, "agg-view")
     build_view(t.lineitem.filter(flag.isin("N", "A")), _VIEW_KEYS, _view_sums()).write.parquet(
         path
@@ -223,5 +224,5 @@ def agg_view_delta(spark: SparkSession, t: Tables) -> DataFrame:
         _VIEW_KEYS,
         _view_sums(),
         inserted=t.lineitem.filter(flag == "R"),
-        deleted=t.lineitem.filter((flag == "A") | (part == 776)),
+        deleted=loaded.filter((flag == "A") | (part == 776)),
     )

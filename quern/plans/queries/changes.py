@@ -183,10 +183,12 @@ def checked_load(spark: SparkSession, t: Tables) -> DataFrame:
     SELECT 'missing status', count(*) FROM orders WHERE nullif(o_orderstatus, 'P') IS NULL
     UNION ALL
     SELECT 'order without customer', count(*) FROM orders
-    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+    WHERE o_custkey IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
     UNION ALL
     SELECT 'order without line', count(*) FROM orders
-    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+    WHERE o_orderkey IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
     """
 )
 def key_checks(spark: SparkSession, t: Tables) -> DataFrame:

@@ -16,8 +16,8 @@ _BY_PRICE = [("p_retailprice", True), ("p_partkey", False)]
 @query(
     """
     SELECT p_partkey, p_name, p_retailprice, p_size,
-           row_number() OVER (ORDER BY p_name DESC, p_partkey) AS row_number
-    FROM part ORDER BY p_name DESC, p_partkey LIMIT 10
+           row_number() OVER (ORDER BY p_name DESC NULLS LAST, p_partkey NULLS FIRST) AS row_number
+    FROM part ORDER BY p_name DESC NULLS LAST, p_partkey NULLS FIRST LIMIT 10
     """
 )
 def topk_numbered(spark: SparkSession, t: Tables) -> DataFrame:
@@ -28,8 +28,8 @@ def topk_numbered(spark: SparkSession, t: Tables) -> DataFrame:
 @query(
     """
     SELECT p_partkey, p_name, p_retailprice, p_size,
-           row_number() OVER (ORDER BY p_name DESC, p_partkey) AS row_number
-    FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10
+           row_number() OVER (ORDER BY p_name DESC NULLS LAST, p_partkey NULLS FIRST) AS row_number
+    FROM part ORDER BY p_retailprice DESC NULLS LAST, p_partkey NULLS FIRST LIMIT 10
     """
 )
 def topk_other_rank(spark: SparkSession, t: Tables) -> DataFrame:

@@ -115,17 +115,17 @@ def layout_report(spark: SparkSession, t: Tables) -> DataFrame:
     columns = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
     lines, flag = t.lineitem.select(*columns), F.col("l_returnflag")
     pieces = lines.filter(flag == "R").repartition(12)
-    whole = lines.filter(flag != "R").repartition(2)
+    whole = lines.filter(~flag.eqNullSafe("R")).repartition(2)
     pieces.unionByName(whole).write.partitionBy("l_returnflag").parquet(path)
 
     stored = spark.read.parquet(path)
     target = 64 * 1024
     before = layout.layout_report(stored, "l_returnflag", target).select(
-        "l_returnflag", F.col("action").alias("first_action")
+        F.col("l_returnflag").alias("flag"), F.col("action").alias("first_action")
     )
     before = materialize(before, "layout-report")
     layout.compact(stored, path, "l_returnflag", target)
     after = layout.layout_report(spark.read.parquet(path), "l_returnflag", target)
-    return after.join(before, "l_returnflag").select(
+    return after.join(before, F.col("l_returnflag").eqNullSafe(F.col("flag"))).select(
         "l_returnflag", "n_rows", "first_action", F.col("action").alias("second_action")
     )

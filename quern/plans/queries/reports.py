@@ -105,7 +105,8 @@ def cart_lines(spark: SparkSession, t: Tables) -> DataFrame:
 _LINES_SQL = """
     SELECT l_orderkey,
            row_number() OVER (PARTITION BY l_orderkey
-               ORDER BY l_shipdate, l_extendedprice, l_partkey, p_name) AS line_number,
+               ORDER BY l_shipdate NULLS FIRST, l_extendedprice NULLS FIRST,
+               l_partkey NULLS FIRST, p_name NULLS FIRST) AS line_number,
            p_name, l_extendedprice
     FROM lineitem JOIN part ON l_partkey = p_partkey {where}
 """

@@ -144,7 +144,7 @@ def gen_mod(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id,
+    SELECT row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS id,
            o_orderkey, o_orderdate
     FROM orders
     """

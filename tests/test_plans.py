@@ -110,7 +110,7 @@ def test_broadcast_needs_a_small_side(tables):
 
 def test_skewed_join_is_split(spark, tables, tmp_path, conf):
     # A partition is split between map tasks, so the tables need several files.
-    for name in ("orders", "lineitem"):
+    for name in ("orders", "events"):
         getattr(tables, name).repartition(8).write.parquet(str(tmp_path / f"{name}.parquet"))
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
