@@ -105,26 +105,36 @@ def layout_report(
 def compact(
     df: DataFrame, path: str, partition: str, target_bytes: int = 128 * 1024 * 1024
 ) -> list:
-    """Rewrite the listed partitions of a table in fewer, larger files.
+    """Rewrite the listed partitions of a table in files of about the target size.
 
-    Other partitions are not read.  Adaptive execution merges small pieces and
-    splits large ones, so one big partition is written by several tasks.  Returns
-    the partition values that were rewritten, at most one per directory.
+    Other partitions are not read.  A partition is cut into as many pieces as it
+    needs files, by the place of a row in its old file: pieces are even whatever
+    the rows hold, and a task that runs again gets the same rows.  Returns the
+    partition values that were rewritten, at most one per directory.
     """
-    report = layout_report(df, partition, target_bytes)
-    listed = report.filter(F.col("action") != "keep").select(partition).collect()
-    values = [row[partition] for row in listed]
-    if values:
-        key = F.col(partition)
-        wanted = key.isin([v for v in values if v is not None])
-        if None in values:
-            wanted = wanted | key.isNull()
-        (
-            df.filter(wanted)
-            .hint("rebalance", partition)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(path)
-        )
+    files = F.greatest(F.ceil(F.col("total_bytes") / target_bytes), F.lit(1))
+    report = layout_report(df, partition, target_bytes).filter(F.col("action") != "keep")
+    todo = report.select(F.col(partition).alias("__value"), files.alias("__files"))
+    listed = todo.collect()
+    values = [row["__value"] for row in listed]
+    if not values:
+        return []
+    key = F.col(partition)
+    wanted = key.isin([v for v in values if v is not None])
+    if None in values:
+        wanted = wanted | key.isNull()
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    pieces = df.filter(wanted).select("*", place.alias("__place")).join(
+        df.sparkSession.createDataFrame(listed, todo.schema),
+        key.eqNullSafe(F.col("__value")),
+    )
+    (
+        pieces.withColumn("__piece", F.pmod("__place", "__files"))
+        .repartition(sum(row["__files"] for row in listed), partition, "__piece")
+        .select(*df.columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
     return values

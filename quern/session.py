@@ -38,6 +38,24 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for jobs over an input of this size on this many cores.
+
+    A shuffle may be as large as the input.  Its partitions start at about 128 MB,
+    which fits next to others in an executor's memory; adaptive execution merges
+    those that turn out small.  Large inputs are read in larger splits, so that
+    the number of tasks stays in the range a driver handles well.
+    """
+    partition = 128 * 1024**2
+    partitions = max(2 * cores, -(-input_bytes // partition))
+    split = partition if partitions <= 100_000 else 4 * partition
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def _shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators.maintained import build_view, merge_parts
@@ -40,6 +41,24 @@ class LiveView:
             writer = writer.trigger(availableNow=True)
         return writer.start()
 
+    def fold(self, path: str) -> LiveView:
+        """Merge the parts into a new folder, for a stream that is stopped.
+
+        The last part keeps its batch number: if its batch was not committed, the
+        restarted stream runs it again and overwrites it.
+        """
+        parts = self.spark.read.parquet(self.path)
+        last = parts.agg(F.max("batch_id")).first()[0]
+        folded = LiveView(self.spark, path, self.keys, self.sums)
+        older = parts.filter(F.col("batch_id") < last)
+        merge_parts(older, self.keys, list(self.sums)).write.parquet(
+            f"{folded.path}/batch_id=-1"
+        )
+        parts.filter(F.col("batch_id") == last).drop("batch_id").write.parquet(
+            f"{folded.path}/batch_id={last}"
+        )
+        return folded
+
     def read(self) -> DataFrame:
         """Current state of the view."""
         parts = self.spark.read.parquet(self.path)

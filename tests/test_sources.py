@@ -196,3 +196,12 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         _shared_root(Session())
+
+
+def test_settings_grow_with_the_input():
+    from quern.session import sized_for
+
+    small, large = sized_for(10 * 1024**2, 8), sized_for(100 * 1024**4, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * 1024**2

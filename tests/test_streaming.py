@@ -93,3 +93,18 @@ def test_delta_drops_empty_groups(spark):
     after = apply_delta(view, ["k"], sums, inserted=table(("c", 1)), deleted=table(("a", 5)))
     assert rows(after) == [("b", 0, 2), ("c", 1, 1)]
     assert rows(apply_delta(view, ["k"], sums)) == rows(view)
+
+
+def test_folded_view_survives_a_repeated_batch(spark, tables, tmp_path):
+    events = tables.events.select("event_type", "value")
+    view = LiveView(spark, str(tmp_path / "view"), KEYS, _sums())
+    for batch in range(3):
+        view._write(events, batch)
+    folded = view.fold(str(tmp_path / "folded"))
+    assert rows(folded.read()) == rows(view.read())
+    folded._write(events, 2)
+    assert rows(folded.read()) == rows(view.read())
+    folded._write(events, 3)
+    again = folded.fold(str(tmp_path / "again"))
+    four = build_view(events.unionAll(events).unionAll(events).unionAll(events), KEYS, _sums())
+    assert rows(again.read()) == rows(four)
