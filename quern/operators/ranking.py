@@ -13,6 +13,7 @@ from quern.session import materialize
 #: One ordering term: a column name and whether it descends.
 Term = tuple[str, bool]
 
+_BUCKETS = 1 << 16
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in these bits
 
 
@@ -121,20 +122,21 @@ def top_with_position(
     )
 
 
-def frequent_groups(
-    df: DataFrame, group: Sequence[str], rows: int, most: int = 1_000
-) -> list[int]:
-    """Hashes of the groups that may have more than ``rows`` rows.
+def _bucket(group: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*group), F.lit(_BUCKETS))
 
-    One map-side sketch of frequent items, without a shuffle of the rows.  It is
-    only used to choose a plan, so neither an estimate that is a little off nor
-    two groups with one hash can change a result.
+
+def frequent_buckets(df: DataFrame, group: Sequence[str], rows: int) -> list[int]:
+    """Hash buckets of groups with more than ``rows`` rows.
+
+    Rows are counted per bucket, which combines map-side to a fixed number of
+    counters.  No such group is missed; a bucket may also hold small groups, or
+    only such, which changes the plan for them but not their result.
     """
-    sketch = F.call_function(
-        "approx_top_k", F.xxhash64(*group), F.lit(most), F.lit(100 * most)
+    counted = df.groupBy(_bucket(group).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows")
     )
-    found = df.select(*group).agg(sketch.alias("items")).first()["items"]
-    return [item["item"] for item in found or [] if item["count"] > rows]
+    return [r["bucket"] for r in counted.filter(F.col("n_rows") > rows).collect()]
 
 
 def number_within(
@@ -142,7 +144,7 @@ def number_within(
     group: Sequence[str],
     terms: Sequence[Term],
     column: str = "row_number",
-    hot_rows: int = 10_000_000,
+    hot_rows: int = 100_000_000,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group in a total order.
@@ -155,11 +157,11 @@ def number_within(
     order = sort_columns(terms)
     window = Window.partitionBy(*group).orderBy(*order)
     number = F.row_number().over(window).cast("bigint")
-    hot = frequent_groups(df if sized_by is None else sized_by, group, hot_rows)
+    hot = frequent_buckets(df if sized_by is None else sized_by, group, hot_rows)
     if not hot:
         return df.withColumn(column, number)
 
-    is_hot = F.xxhash64(*group).isin(hot)
+    is_hot = _bucket(group).isin(hot)
     numbered = df.filter(~is_hot).withColumn(column, number)
 
     in_group_order = [*sort_columns([(g, False) for g in group]), *order]

@@ -210,7 +210,10 @@ def agg_view(spark: SparkSession, t: Tables) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query(_VIEW_SQL.format(where="WHERE l_returnflag IN ('N', 'R') AND l_partkey IS DISTINCT FROM 776"))
+_LEFT_OVER = "WHERE l_returnflag IN ('N', 'R') AND l_partkey IS DISTINCT FROM 776"
+
+
+@query(_VIEW_SQL.format(where=_LEFT_OVER))
 def agg_view_delta(spark: SparkSession, t: Tables) -> DataFrame:
     """View over flags N and A; then R lines arrive, A lines and part 776 leave."""
     flag, part = F.col("l_returnflag"), F.col("l_partkey")

@@ -76,6 +76,7 @@ def event_stream(spark: SparkSession, t: Tables) -> DataFrame:
         _event_files(spark, t),
         shared_folder(spark, "captured"),
         shared_folder(spark, "captured-checkpoint"),
+        bytes_per_batch="1t",
         events=[BATCH_EVENT],
         where=F.col("duration") > 500,
     )
@@ -91,13 +92,11 @@ def event_stream(spark: SparkSession, t: Tables) -> DataFrame:
     """
 )
 def agg_view_stream(spark: SparkSession, t: Tables) -> DataFrame:
-    """The view over events, filled from a stream of their files."""
-    source = shared_folder(spark, "event-rows")
-    t.events.select("event_type", "value").repartition(4).write.parquet(source)
+    """The view over events, filled from a stream of the table's own files."""
     rows = (
         spark.readStream.schema("event_type string, value double")
-        .option("maxFilesPerTrigger", 2)
-        .parquet(source)
+        .option("maxBytesPerTrigger", "1t")
+        .parquet(f"{t.folder}/events.parquet")
     )
     view = LiveView(
         spark,
@@ -196,8 +195,10 @@ def planhash_rollup(spark: SparkSession, t: Tables) -> DataFrame:
 
 _STATEMENT_SQL = r"""
     SELECT CASE WHEN o_orderkey % 2 = 0
-           THEN 'SELECT * FROM orders WHERE custkey = ' || o_custkey || ' AND status = ''' || o_orderstatus || ''''
-           ELSE 'select *  from Orders where CustKey = ' || o_custkey || ' and  status = ''' || o_orderpriority || ''''
+           THEN 'SELECT * FROM orders WHERE custkey = ' || o_custkey
+                || ' AND status = ''' || o_orderstatus || ''''
+           ELSE 'select *  from Orders where CustKey = ' || o_custkey
+                || ' and  status = ''' || o_orderpriority || ''''
            END AS stmt FROM orders
     UNION ALL
     SELECT 'SELECT name FROM part WHERE size = ' || p_size FROM part

@@ -17,7 +17,8 @@ LATENCY = "30 seconds"
 class EventSession:
     """Reads new event files, keeps wanted events and appends typed rows.
 
-    The session is stateless: each micro-batch is a map-only job, and the sink's
+    A backlog is taken in micro-batches of at most about ``bytes_per_batch``.  The
+    session is stateless: each micro-batch is a map-only job, and the sink's
     commit log with the checkpoint makes the output exactly-once.
     """
 
@@ -30,7 +31,7 @@ class EventSession:
         checkpoint: str,
         events: Sequence[str] | None = None,
         where: Column | None = None,
-        files_per_batch: int | None = None,
+        bytes_per_batch: str | None = None,
     ):
         self.spark = spark
         self.name = name
@@ -39,13 +40,13 @@ class EventSession:
         self.checkpoint = checkpoint
         self.events = events
         self.where = where
-        self.files_per_batch = files_per_batch
+        self.bytes_per_batch = bytes_per_batch
         self.query: StreamingQuery | None = None
 
     def stream(self) -> DataFrame:
         reader = self.spark.readStream.format("text")
-        if self.files_per_batch is not None:
-            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
+        if self.bytes_per_batch is not None:
+            reader = reader.option("maxBytesPerTrigger", self.bytes_per_batch)
         payloads = reader.load(self.source).select(F.col("value").alias("payload"))
         rows = shred_events(payloads)
         if self.events is not None:

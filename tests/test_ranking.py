@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from conftest import plan_text, rows
 
 from quern.operators.ranking import (
-    frequent_groups,
+    frequent_buckets,
     global_positions,
     number_within,
     sort_columns,
@@ -108,9 +108,9 @@ def test_number_within(spark, hot_rows):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
 
 
-def test_frequent_groups_finds_the_hot_one(spark):
+def test_frequent_buckets_finds_the_hot_group(spark):
     table = [("hot" if i % 3 else f"g{i}", 1) for i in range(3000)]
     df = literal_rows(spark, "g string, v int", table)
-    assert len(frequent_groups(df, ["g"], 1000)) == 1
-    assert frequent_groups(df, ["g"], 5000) == []
-    assert frequent_groups(df.limit(0), ["g"], 1) == []
+    assert len(frequent_buckets(df, ["g"], 1000)) == 1
+    assert frequent_buckets(df, ["g"], 5000) == []
+    assert frequent_buckets(df.limit(0), ["g"], 1) == []

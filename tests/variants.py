@@ -9,18 +9,25 @@ from oracle import TABLES
 
 # A third of the rows get one key; some rows become exact copies.
 HOT = {
-    "lineitem": "SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 0 THEN 7 ELSE l_partkey END AS l_partkey,"
-    " CASE WHEN rn % 3 = 1 THEN 42 ELSE l_orderkey END AS l_orderkey) FROM t"
-    " UNION ALL SELECT * EXCLUDE (rn, range) FROM t, range(50) WHERE rn = 5",
-    "orders": "SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 0 THEN 42 ELSE o_custkey END AS o_custkey,"
-    " CASE WHEN rn % 3 = 1 THEN 'F' ELSE o_orderstatus END AS o_orderstatus)"
-    " FROM t",
-    "part": "SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 0 THEN 'blue anvil' ELSE p_name END AS p_name)"
-    " FROM t",
-    "customer": "SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 0 THEN 10 ELSE c_nationkey END"
-    " AS c_nationkey) FROM t",
-    "events": "SELECT * EXCLUDE (rn) REPLACE (CASE WHEN rn % 3 = 0 THEN 42 ELSE user_id END AS user_id,"
-    " CASE WHEN rn % 3 = 0 THEN '{}' ELSE props END AS props) FROM t",
+    "lineitem": """
+        SELECT * EXCLUDE (rn) REPLACE (
+            CASE WHEN rn % 3 = 0 THEN 7 ELSE l_partkey END AS l_partkey,
+            CASE WHEN rn % 3 = 1 THEN 42 ELSE l_orderkey END AS l_orderkey) FROM t
+        UNION ALL SELECT * EXCLUDE (rn, range) FROM t, range(50) WHERE rn = 5""",
+    "orders": """
+        SELECT * EXCLUDE (rn) REPLACE (
+            CASE WHEN rn % 3 = 0 THEN 42 ELSE o_custkey END AS o_custkey,
+            CASE WHEN rn % 3 = 1 THEN 'F' ELSE o_orderstatus END AS o_orderstatus) FROM t""",
+    "part": """
+        SELECT * EXCLUDE (rn) REPLACE (
+            CASE WHEN rn % 3 = 0 THEN 'blue anvil' ELSE p_name END AS p_name) FROM t""",
+    "customer": """
+        SELECT * EXCLUDE (rn) REPLACE (
+            CASE WHEN rn % 3 = 0 THEN 10 ELSE c_nationkey END AS c_nationkey) FROM t""",
+    "events": """
+        SELECT * EXCLUDE (rn) REPLACE (
+            CASE WHEN rn % 3 = 0 THEN 42 ELSE user_id END AS user_id,
+            CASE WHEN rn % 3 = 0 THEN '{}' ELSE props END AS props) FROM t""",
 }
 
 # Every seventh value of these columns is missing.
