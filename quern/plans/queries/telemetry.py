@@ -76,7 +76,7 @@ def event_stream(spark: SparkSession, t: Tables) -> DataFrame:
         _event_files(spark, t),
         shared_folder(spark, "captured"),
         shared_folder(spark, "captured-checkpoint"),
-        bytes_per_batch="1t",
+        bytes_per_batch=1 << 40,
         events=[BATCH_EVENT],
         where=F.col("duration") > 500,
     )
@@ -95,7 +95,7 @@ def agg_view_stream(spark: SparkSession, t: Tables) -> DataFrame:
     """The view over events, filled from a stream of the table's own files."""
     rows = (
         spark.readStream.schema("event_type string, value double")
-        .option("maxBytesPerTrigger", "1t")
+        .option("maxBytesPerTrigger", 1 << 40)
         .parquet(f"{t.folder}/events.parquet")
     )
     view = LiveView(

@@ -31,7 +31,7 @@ class EventSession:
         checkpoint: str,
         events: Sequence[str] | None = None,
         where: Column | None = None,
-        bytes_per_batch: str | None = None,
+        bytes_per_batch: int | None = None,
     ):
         self.spark = spark
         self.name = name
