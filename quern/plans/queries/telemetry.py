@@ -96,7 +96,7 @@ def agg_view_stream(spark: SparkSession, t: Tables) -> DataFrame:
     rows = (
         spark.readStream.schema("event_type string, value double")
         .option("maxBytesPerTrigger", 1 << 40)
-        .parquet(f"{t.folder}/events.parquet")
+        .parquet(f"{t.folder}/events*.parquet")  # one file, or a folder of files
     )
     view = LiveView(
         spark,
