@@ -152,7 +152,31 @@ def column_profile(
 
 
 def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Approximate histogram of a numeric column: bin centre and height."""
-    return df.agg(F.histogram_numeric(column, F.lit(bins)).alias("bins")).select(
-        F.inline("bins").alias("centre", "height")
+    """Exact histogram of a numeric column in bins of equal width.
+
+    One row per bin that has rows: number, rows, distinct values, and lowest and
+    highest value.  Values are counted first, so a frequent one is merged
+    map-side.
+    """
+    value = F.col("v")
+    counts = (
+        df.select(F.col(column).alias("v"))
+        .filter(value.isNotNull())
+        .groupBy("v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    bounds = counts.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high")))
+    low, high = F.col("bounds.low").cast("double"), F.col("bounds.high").cast("double")
+    # The highest value belongs to the last bin; a single value fills the first.
+    bucket = F.width_bucket(value.cast("double"), low, high, F.lit(bins))
+    place = F.least(F.coalesce(bucket, F.lit(1)), F.lit(bins))
+    return (
+        counts.withColumn("bounds", bounds.scalar())
+        .groupBy(place.cast("int").alias("bin"))
+        .agg(
+            F.sum("n").alias("n_rows"),
+            F.count(F.lit(1)).alias("n_distinct"),
+            F.min("v").alias("lowest"),
+            F.max("v").alias("highest"),
+        )
     )

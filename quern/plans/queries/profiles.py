@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators import layout
-from quern.operators.aggregates import column_profile as profile, predicate_share as shares
+from quern.operators.aggregates import (
+    column_profile as profile,
+    predicate_share as shares,
+    value_histogram,
+)
 from quern.plans.registry import query
 from quern.session import materialize, shared_folder
 from quern.sources.tables import Tables
@@ -74,6 +78,20 @@ def predicate_share(spark: SparkSession, t: Tables) -> DataFrame:
     return shares(t.part, F.col("p_type") == "SMALL", F.col("p_size") > 15)
 
 
+@query(
+    """
+    WITH b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem)
+    SELECT CAST(least(floor(20 * (l_extendedprice - lo) / (hi - lo)) + 1, 20) AS INTEGER)
+               AS bin,
+           count(*) AS n_rows, count(DISTINCT l_extendedprice) AS n_distinct,
+           min(l_extendedprice) AS lowest, max(l_extendedprice) AS highest
+    FROM lineitem, b GROUP BY 1
+    """
+)
+def column_histogram(spark: SparkSession, t: Tables) -> DataFrame:
+    return value_histogram(t.lineitem, "l_extendedprice", 20)
+
+
 @query("SELECT o_custkey, o_orderkey, o_orderdate FROM orders")
 def layout_sorted(spark: SparkSession, t: Tables) -> DataFrame:
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")

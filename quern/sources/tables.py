@@ -16,18 +16,30 @@ def scan(
 
 
 class Tables:
-    """Attribute access to the tables of one folder: ``Tables(spark, d).orders``."""
+    """Attribute access to tables: ``Tables(spark, folder).orders``.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    The tables are parquet files in one folder or, with ``database``, tables of
+    that database in the session's catalog.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str = "", database: str | None = None
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.database = database
         self._frames: dict[str, DataFrame] = {}
 
+    def _load(self, name: str) -> DataFrame:
+        if self.database is not None:
+            return self.spark.table(f"{self.database}.{name}")
+        return scan(self.spark, f"{self.folder}/{name}.parquet")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._frames:
-            self._frames[name] = scan(self.spark, f"{self.folder}/{name}.parquet")
+            self._frames[name] = self._load(name)
         return self._frames[name]
 
     def register(self, *names: str) -> None:

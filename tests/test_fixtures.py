@@ -223,5 +223,10 @@ def test_check_domain_join(spark):
 
 
 def test_histogram_covers_all_rows(spark):
-    bins = value_histogram(numbers(spark, 1000), "n", 10).collect()
-    assert len(bins) == 10 and sum(b.height for b in bins) == 1000
+    bins = value_histogram(numbers(spark, 1000), "n", 10).orderBy("bin").collect()
+    assert [b.bin for b in bins] == list(range(1, 11))
+    assert sum(b.n_rows for b in bins) == sum(b.n_distinct for b in bins) == 1000
+    assert (bins[0].lowest, bins[-1].highest) == (1, 1000)
+    single = literal_rows(spark, "v int", [(5,), (5,), (None,)])
+    assert rows(value_histogram(single, "v", 4)) == [(1, 2, 1, 5, 5)]
+    assert value_histogram(single.limit(0), "v", 4).count() == 0

@@ -86,3 +86,19 @@ def test_compaction_rewrites_only_listed_partitions(spark, tables, tmp_path):
     assert len([f for f in after.inputFiles() if "=R" in f]) < 12
     assert rows(after.select(*lines.columns)) == rows(lines)
     assert layout.compact(after, path, "l_returnflag", 1 << 20) == []
+
+
+def test_compaction_of_the_partition_without_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = spark.range(600).select(
+        "id", F.when(F.col("id") % 2 == 0, F.lit("even")).alias("kind")
+    )
+    table.repartition(12).write.partitionBy("kind").parquet(path)
+    assert sorted(layout.compact(spark.read.parquet(path), path, "kind"), key=str) == [
+        None, "even",
+    ]
+    after = spark.read.parquet(path)
+    assert len(after.inputFiles()) == 2
+    assert sorted(map(tuple, after.collect()), key=str) == sorted(
+        map(tuple, table.collect()), key=str
+    )

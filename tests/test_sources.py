@@ -205,3 +205,9 @@ def test_settings_grow_with_the_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert large["spark.sql.shuffle.partitions"] == "100000"
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 * 1024**2
+
+
+def test_tables_of_a_database(spark, tables, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    create_table_as(tables.region, "shop.region", str(tmp_path / "r"), replace=True)
+    assert Tables(spark, database="shop").region.count() == 5
