@@ -25,16 +25,48 @@ def sort_columns(terms: Sequence[Term]) -> list[Column]:
     ]
 
 
+def number_copies(df: DataFrame, column: str, chunk: int = 1_000_000) -> DataFrame:
+    """Number equal rows 1, 2, … so that all rows become distinct.
+
+    Copies are counted, which combines them map-side, and written out again from
+    the count.  The copies of a very frequent row are written by several tasks.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    rare = counted.filter(F.col("__copies") <= chunk).withColumn(
+        "__first", F.lit(1).cast("bigint")
+    )
+    firsts = F.sequence(F.lit(1).cast("bigint"), F.col("__copies"), F.lit(chunk))
+    frequent = (
+        counted.filter(F.col("__copies") > chunk)
+        .withColumn("__first", F.explode(firsts))
+        .repartition(*df.columns, "__first")
+    )
+    last = F.least(F.col("__first") + F.lit(chunk - 1), F.col("__copies"))
+    return rare.unionByName(frequent).select(
+        *df.columns, F.explode(F.sequence("__first", last)).alias(column)
+    )
+
+
 def global_positions(
-    df: DataFrame, order_by: Sequence[str | Column], column: str, start: int = 1
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    column: str,
+    start: int = 1,
+    unique: bool = True,
 ) -> DataFrame:
     """Add the position of each row in a total order.
 
     Rows are range-partitioned and sorted once and written to the shared folder
     with their place inside the partition.  The sizes of the partitions, one row
     each, become offsets.  ``order_by`` must be a total key: it also spreads the
-    rows when one value of the leading column is frequent.
+    rows when one value of the leading column is frequent.  For a table without
+    such a key pass ``unique=False``: the other columns and a number per copy
+    then complete the order.
     """
+    columns = df.columns
+    if not unique:
+        df = number_copies(df, "__copy")
+        order_by = [*order_by, *columns, "__copy"]
     placed = materialize(
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
@@ -55,7 +87,7 @@ def global_positions(
         placed.withColumn("__part", part)
         .join(F.broadcast(offsets), "__part")
         .select(
-            (F.col("__offset") + within + F.lit(start)).alias(column), *df.columns
+            (F.col("__offset") + within + F.lit(start)).alias(column), *columns
         )
     )
 
@@ -165,7 +197,9 @@ def number_within(
     numbered = df.filter(~is_hot).withColumn(column, number)
 
     in_group_order = [*sort_columns([(g, False) for g in group]), *order]
-    placed = global_positions(df.filter(is_hot), in_group_order, "__position")
+    placed = global_positions(
+        df.filter(is_hot), in_group_order, "__position", unique=False
+    )
     starts = placed.groupBy(*[F.col(g).alias(f"__{g}") for g in group]).agg(
         F.min("__position").alias("__first")
     )

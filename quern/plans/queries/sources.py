@@ -154,6 +154,19 @@ def dense_id(spark: SparkSession, t: Tables) -> DataFrame:
     return with_dense_id(rows, ["o_orderdate", "o_orderkey"])
 
 
+@query(
+    """
+    SELECT row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey NULLS FIRST,
+               l_linenumber NULLS FIRST, l_quantity NULLS FIRST) AS id,
+           l_shipdate, l_orderkey, l_linenumber, l_quantity
+    FROM lineitem
+    """
+)
+def dense_id_keyless(spark: SparkSession, t: Tables) -> DataFrame:
+    rows = t.lineitem.select("l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")
+    return with_dense_id(rows, ["l_shipdate"], unique=False)
+
+
 @query(
     """
     WITH revenue AS (

@@ -35,10 +35,12 @@ def with_dense_id(
     order_by: Sequence[str | Column],
     column: str = "id",
     start: int = 1,
+    unique: bool = True,
 ) -> DataFrame:
     """Number all rows start, start+1, … in the order of a total key.
 
     A table column of identity kind does not exist on parquet; see
-    :func:`quern.operators.ranking.global_positions` for the plan.
+    :func:`quern.operators.ranking.global_positions` for the plan, and for
+    ``unique``, which tells whether ``order_by`` is a key of the table.
     """
-    return global_positions(df, order_by, column, start)
+    return global_positions(df, order_by, column, start, unique)

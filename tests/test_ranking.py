@@ -6,10 +6,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from conftest import plan_text, rows
+from pyspark.sql import functions as F
 
 from quern.operators.ranking import (
     frequent_buckets,
     global_positions,
+    number_copies,
     number_within,
     sort_columns,
     top_numbered,
@@ -108,6 +110,26 @@ def test_number_within(spark, hot_rows):
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1000])
+def test_number_copies(spark, chunk):
+    table = [(1, None)] * 50 + [(2, "b")] * 3 + [(3, "c")]
+    df = literal_rows(spark, "a int, b string", table).repartition(4)
+    found = sorted(map(tuple, number_copies(df, "copy", chunk).collect()), key=str)
+    expected = [(1, None, i) for i in range(1, 51)]
+    expected += [(2, "b", i) for i in range(1, 4)] + [(3, "c", 1)]
+    assert found == sorted(expected, key=str)
+
+
+def test_copies_spread_over_the_partitions(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = literal_rows(spark, "a int", [(1,)] * 3000 + [(i,) for i in range(2, 100)])
+    found = global_positions(df, ["a"], "pos", unique=False)
+    assert [r.pos for r in found.orderBy("pos").collect()] == list(range(1, 3099))
+    assert found.filter("a = 1").agg({"pos": "max"}).first()[0] == 3000
+    files = spark.read.parquet(*found.inputFiles()).groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count")).first()[0] < 2000
+
+
 def test_frequent_buckets_finds_the_hot_group(spark):
     table = [("hot" if i % 3 else f"g{i}", 1) for i in range(3000)]
     df = literal_rows(spark, "g string, v int", table)
