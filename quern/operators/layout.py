@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.operators.ranking import number_copies
+
+
+#: Size that a file should have.
+TARGET_BYTES = 128 * 1024 * 1024
+
 
 def write_ordered(
     df: DataFrame,
@@ -14,15 +20,19 @@ def write_ordered(
     order_by: Sequence[str],
     spread_by: Sequence[str] = (),
     compression: str = "snappy",
+    unique: bool = True,
 ) -> DataFrame:
     """Write a table ordered by key, so that min/max statistics skip row groups.
 
     ``spread_by`` adds columns to the range key: rows that share one frequent
-    key then lie in several files rather than in one.
+    key then lie in several files rather than in one.  If even all columns may
+    repeat, ``unique=False`` spreads the copies by a number per copy.
     """
-    key = [*order_by, *spread_by]
-    ordered = df.repartitionByRange(*key).sortWithinPartitions(*key)
-    ordered.write.option("compression", compression).parquet(path)
+    key, rows = [*order_by, *spread_by], df
+    if not unique:
+        rows, key = number_copies(df, "__copy"), [*key, "__copy"]
+    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+    ordered.select(*df.columns).write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -49,10 +59,14 @@ def covering_extract(
     included: Sequence[str],
     path: str,
     where: Column | None = None,
+    unique: bool = True,
 ) -> DataFrame:
-    """A narrow copy, ordered by key: key and included columns, maybe filtered."""
+    """A narrow copy, ordered by key: key and included columns, maybe filtered.
+
+    Pass ``unique=False`` if the narrow rows repeat.
+    """
     narrow = (df if where is None else df.filter(where)).select(*key, *included)
-    return write_ordered(narrow, path, key, included)
+    return write_ordered(narrow, path, key, included, unique=unique)
 
 
 def file_sizes(df: DataFrame, partition: str) -> DataFrame:
@@ -75,7 +89,7 @@ REBUILD_PERCENT = 40
 
 
 def layout_report(
-    df: DataFrame, partition: str, target_bytes: int = 128 * 1024 * 1024
+    df: DataFrame, partition: str, target_bytes: int = TARGET_BYTES
 ) -> DataFrame:
     """Share of undersized files per partition, and what to do about it.
 
@@ -103,7 +117,7 @@ def layout_report(
 
 
 def compact(
-    df: DataFrame, path: str, partition: str, target_bytes: int = 128 * 1024 * 1024
+    df: DataFrame, path: str, partition: str, target_bytes: int = TARGET_BYTES
 ) -> list:
     """Rewrite the listed partitions of a table in files of about the target size.
 

@@ -131,19 +131,20 @@ def layout_report(spark: SparkSession, t: Tables) -> DataFrame:
     """Report on a table with one shredded partition, before and after compaction.
 
     The number of files follows the session's shuffle partitions, so it grows with
-    the data.  The target is four times the size of a file of the shredded part.
+    the data.  The target is at least four times a file of the shredded part.
     """
     path = shared_folder(spark, "lines-by-flag")
     columns = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
     lines, flag = t.lineitem.select(*columns), F.col("l_returnflag")
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shredded = lines.filter(flag == "R").repartition(max(12, 2 * parallel))
-    whole = lines.filter(~flag.eqNullSafe("R")).repartition(max(1, parallel // 8))
+    whole = lines.filter(~flag.eqNullSafe("R")).repartition(max(1, parallel // 32))
     shredded.unionByName(whole).write.partitionBy("l_returnflag").parquet(path)
 
     stored = spark.read.parquet(path)
     sizes = layout.file_sizes(stored.filter(flag == "R"), "l_returnflag")
-    target = int(4 * sizes.agg(F.avg("bytes")).first()[0])
+    average = sizes.agg(F.avg("bytes")).first()[0] or 0
+    target = max(layout.TARGET_BYTES, int(4 * average))
     before = layout.layout_report(stored, "l_returnflag", target).select(
         F.col("l_returnflag").alias("flag"), F.col("action").alias("first_action")
     )

@@ -30,6 +30,13 @@ def test_one_frequent_key_spreads_over_files(spark, tmp_path, conf):
     assert len(found.inputFiles()) > 1
 
 
+def test_copies_of_one_row_spread_over_files(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = spark.range(10_000).select(F.lit(1).alias("k"))
+    found = layout.write_ordered(df, str(tmp_path / "t"), ["k"], unique=False)
+    assert found.count() == 10_000 and len(found.inputFiles()) > 1
+
+
 def test_bucketed_join_needs_no_shuffle(spark, tables, tmp_path, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     orders = layout.write_bucketed(
@@ -46,7 +53,7 @@ def test_bucketed_join_needs_no_shuffle(spark, tables, tmp_path, conf):
 def test_covering_extract(spark, tables, tmp_path):
     found = layout.covering_extract(
         tables.orders, ["o_custkey"], ["o_orderdate"], str(tmp_path / "x"),
-        where=F.col("o_orderstatus") == "F",
+        where=F.col("o_orderstatus") == "F", unique=False,
     )
     assert found.columns == ["o_custkey", "o_orderdate"]
     assert found.count() == tables.orders.filter("o_orderstatus = 'F'").count()
