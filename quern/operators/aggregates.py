@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import NumericType
 
 from quern.functions.numeric import ratio
 
@@ -90,9 +90,6 @@ def predicate_share(df: DataFrame, first: Column, second: Column) -> DataFrame:
     return counts.select("*", *shares)
 
 
-_NUMERIC = (T.NumericType,)
-
-
 def column_profile(
     df: DataFrame,
     columns: Sequence[str],
@@ -110,7 +107,7 @@ def column_profile(
         df = df.filter(where)
     parts = []
     for name in columns:
-        numeric = isinstance(df.schema[name].dataType, _NUMERIC)
+        numeric = isinstance(df.schema[name].dataType, NumericType)
         counts = (
             df.select(F.col(name).alias("v"))
             .groupBy("v")

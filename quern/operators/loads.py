@@ -13,26 +13,26 @@ from pyspark.sql import functions as F
 def _broken(rules: Mapping[str, Column]) -> Column:
     # As with a CHECK, a rule that is unknown because of a NULL lets the row pass.
     failed = [~F.coalesce(rule, F.lit(True)) for rule in rules.values()]
-    return reduce(lambda a, b: a | b, failed)
+    return reduce(lambda a, b: a | b, failed, F.lit(False))
 
 
 @dataclass(frozen=True)
 class Load:
-    """Result of a checked load."""
+    """Result of a checked load; ``violations`` and ``loaded`` are per batch."""
 
     table: DataFrame
     violators: DataFrame
     violations: list[int]
+    loaded: list[bool]
     message: str | None
 
     def log(self) -> DataFrame:
         """One row per batch: number of violators and whether it was loaded."""
-        spark = self.table.sparkSession
-        failed = self.message is not None and self.message.startswith("nothing")
         rows = [
-            (i, n, n == 0 and not failed) for i, n in enumerate(self.violations, 1)
+            (i, n, done)
+            for i, (n, done) in enumerate(zip(self.violations, self.loaded), 1)
         ]
-        return spark.createDataFrame(
+        return self.table.sparkSession.createDataFrame(
             rows, "batch int, violations bigint, loaded boolean"
         )
 
@@ -53,26 +53,22 @@ def checked_load(
     if mode not in ("statement", "all"):
         raise ValueError(f"unknown mode {mode!r}")
     broken = _broken(rules)
-    violations = [
-        batch.agg(F.count_if(broken)).first()[0] for batch in batches
+    violations = [batch.agg(F.count_if(broken)).first()[0] for batch in batches]
+    clean = not any(violations)
+    loaded = [n == 0 and (clean or mode == "statement") for n in violations]
+    refused = len(batches) - sum(loaded)
+    message = None if clean else f"{refused} of {len(batches)} batches were refused"
+    violators = [
+        batch.filter(broken).withColumn("batch", F.lit(i))
+        for i, batch in enumerate(batches, 1)
     ]
-    accepted = [b for b, n in zip(batches, violations) if n == 0]
-    message = None
-    if any(violations):
-        refused = sum(1 for n in violations if n)
-        message = f"{refused} of {len(batches)} batches broke a rule"
-        if mode == "all":
-            accepted = []
-            message = f"nothing loaded: {message}"
-    table = reduce(DataFrame.unionByName, accepted, target)
-    violators = reduce(
-        DataFrame.unionByName,
-        [
-            b.filter(broken).withColumn("batch", F.lit(i))
-            for i, b in enumerate(batches, 1)
-        ],
+    return Load(
+        reduce(DataFrame.unionByName, [b for b, ok in zip(batches, loaded) if ok], target),
+        reduce(DataFrame.unionByName, violators),
+        violations,
+        loaded,
+        message,
     )
-    return Load(table, violators, violations, message)
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

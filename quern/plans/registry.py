@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,15 @@ from quern.sources.tables import Tables
 Plan = Callable[[SparkSession, Tables], DataFrame]
 
 
+@lru_cache(maxsize=16)
+def open_tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder, opened once per session.
+
+    Opening reads a footer per table.  Files that change later are not seen.
+    """
+    return Tables(spark, folder)
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -19,7 +29,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        return self.plan(spark, Tables(spark, folder))
+        return self.plan(spark, open_tables(spark, folder))
 
 
 REGISTRY: dict[str, Query] = {}
