@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -33,6 +33,22 @@ def rollup_then_lookup(
     )
 
 
+def footer_extremes(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """MIN, MAX and row count of a parquet table from its file footers.
+
+    Needs the V2 reader with pushed aggregates, which are set in a session of
+    their own, so other queries keep their reader.  For numbers and dates only.
+    """
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.useV1SourceList", "")
+    reader.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return reader.read.parquet(path).agg(
+        F.min(column).alias("lowest"),
+        F.max(column).alias("highest"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
 def selectivity(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
     """Distinct values over rows, and one over the distinct values.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.numeric import average_amount, cents, sum_amount
 from quern.operators.aggregates import (
+    footer_extremes,
     prefix_density,
     rollup_then_lookup,
     selectivity as column_selectivity,
@@ -157,6 +158,17 @@ def scalar_min(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT min(l_extendedprice) AS lowest, max(l_extendedprice) AS highest,
+           count(*) AS n_rows
+    FROM lineitem
+    """
+)
+def scalar_min_footer(spark: SparkSession, t: Tables) -> DataFrame:
+    return footer_extremes(spark, f"{t.folder}/lineitem.parquet", "l_extendedprice")
+
+
 @query(
     """
     SELECT count(DISTINCT o_orderstatus) AS distinct_values, count(o_orderstatus) AS n_rows,

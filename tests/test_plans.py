@@ -52,6 +52,14 @@ def test_narrow_scan_reads_three_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in scan
 
 
+def test_extremes_come_from_footers(spark):
+    df = QUERIES["scalar_min_footer"](spark, DATA)
+    assert "PushedAggregation: [MIN(l_extendedprice), MAX(l_extendedprice), COUNT(*)]" in (
+        plan_text(df)
+    )
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
 def test_contradiction_needs_no_scan(tables):
     size = F.col("p_size")
     df = tables.part.filter((size == 20) & (size == 30))
