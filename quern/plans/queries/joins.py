@@ -231,12 +231,12 @@ def join_hints(spark: SparkSession, t: Tables) -> DataFrame:
 )
 def apply_lateral(spark: SparkSession, t: Tables) -> DataFrame:
     register_table_functions(spark, t)
-    t.register("customer")
     return spark.sql(
         """
         SELECT c_custkey, c_name, f.order_id, f.amount
-        FROM customer, LATERAL orders_of(c_custkey) AS f
-        """
+        FROM {customer}, LATERAL orders_of(c_custkey) AS f
+        """,
+        customer=t.customer,
     )
 
 
@@ -251,6 +251,7 @@ def apply_lateral_outer(spark: SparkSession, t: Tables) -> DataFrame:
     return spark.sql(
         """
         SELECT o_orderkey, f.line_part, f.quantity
-        FROM orders LEFT JOIN LATERAL lines_of(o_orderkey) AS f
-        """
+        FROM {orders} LEFT JOIN LATERAL lines_of(o_orderkey) AS f
+        """,
+        orders=t.orders,
     )

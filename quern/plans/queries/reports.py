@@ -26,7 +26,7 @@ def customer_product_lines(spark: SparkSession, t: Tables) -> DataFrame:
 
 @query(_CUSTOMER_SQL)
 def customer_product_lines_sql(spark: SparkSession, t: Tables) -> DataFrame:
-    return report.customer_product_lines_sql(spark, t, 42, 500)
+    return report.customer_product_lines_sql(t, 42, 500)
 
 
 @query(

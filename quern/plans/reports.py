@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.numeric import cents, cents_to_amount
@@ -36,18 +36,17 @@ def customer_product_lines(t: Tables, customer: int, part_below: int) -> DataFra
     )
 
 
-def customer_product_lines_sql(
-    spark: SparkSession, t: Tables, customer: int, part_below: int
-) -> DataFrame:
+def customer_product_lines_sql(t: Tables, customer: int, part_below: int) -> DataFrame:
     """The same report as SQL text with typed arguments."""
-    t.register("orders", "lineitem")
-    return spark.sql(
+    return t.spark.sql(
         """
         SELECT o_orderkey, o_orderdate, l_partkey, l_quantity, l_extendedprice
-        FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+        FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey
         WHERE o_custkey = :customer AND l_partkey < :part_below
         """,
         args={"customer": customer, "part_below": part_below},
+        orders=t.orders,
+        lineitem=t.lineitem,
     )
 
 

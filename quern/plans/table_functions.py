@@ -12,13 +12,13 @@ def register_table_functions(spark: SparkSession, t: Tables) -> None:
 
     A lateral call per row is turned into an equality join by the optimizer.
     """
-    t.register("orders", "lineitem")
+    t.register("orders", "lineitem", prefix="quern_")
     spark.sql(
         """
         CREATE OR REPLACE TEMPORARY FUNCTION orders_of(customer BIGINT)
         RETURNS TABLE (order_id BIGINT, placed TIMESTAMP_NTZ, amount DOUBLE)
         RETURN SELECT o_orderkey, o_orderdate, o_totalprice
-               FROM orders WHERE o_custkey = orders_of.customer
+               FROM quern_orders WHERE o_custkey = orders_of.customer
         """
     )
     spark.sql(
@@ -26,6 +26,6 @@ def register_table_functions(spark: SparkSession, t: Tables) -> None:
         CREATE OR REPLACE TEMPORARY FUNCTION lines_of(order_id BIGINT)
         RETURNS TABLE (line_part BIGINT, quantity DOUBLE, price DOUBLE)
         RETURN SELECT l_partkey, l_quantity, l_extendedprice
-               FROM lineitem WHERE l_orderkey = lines_of.order_id
+               FROM quern_lineitem WHERE l_orderkey = lines_of.order_id
         """
     )

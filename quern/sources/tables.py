@@ -42,7 +42,7 @@ class Tables:
             self._frames[name] = self._load(name)
         return self._frames[name]
 
-    def register(self, *names: str) -> None:
+    def register(self, *names: str, prefix: str = "") -> None:
         """Expose tables to ``spark.sql`` as temporary views."""
         for name in names:
-            getattr(self, name).createOrReplaceTempView(name)
+            getattr(self, name).createOrReplaceTempView(prefix + name)

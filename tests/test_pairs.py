@@ -109,10 +109,10 @@ def test_optional_argument_keeps_null_rows(spark):
     assert optional_equals(table, "k", 1).count() == 1
 
 
-def test_report_and_its_sql_text(spark, tables):
+def test_report_and_its_sql_text(tables):
     same(
         reports.customer_product_lines(tables, 42, 150),
-        reports.customer_product_lines_sql(spark, tables, 42, 150),
+        reports.customer_product_lines_sql(tables, 42, 150),
     )
 
 
