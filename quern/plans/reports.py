@@ -118,9 +118,10 @@ def cart_lines(t: Tables, cart: int) -> DataFrame:
 
 
 def order_lines(t: Tables, order: int | None = None) -> DataFrame:
-    """Lines numbered by ship date inside each order, shown by product name.
+    """Lines of an order, numbered by ship date and shown by product name.
 
-    Without an order key all orders are numbered.
+    Without an order key the lines of all orders are numbered, each order by
+    itself, and come in no particular order: that spares a sort of the table.
     """
     items = optional_equals(t.lineitem, "l_orderkey", order)
     lines = (
@@ -135,7 +136,7 @@ def order_lines(t: Tables, order: int | None = None) -> DataFrame:
         lines, ["l_orderkey"], terms, "line_number", sized_by=items
     )
     shown = numbered.select("l_orderkey", "line_number", "p_name", "l_extendedprice")
-    return shown.orderBy("p_name", "l_orderkey", "line_number")
+    return shown if order is None else shown.orderBy("p_name", "line_number")
 
 
 def latest_transactions(
