@@ -40,8 +40,8 @@ def parse_event(payload: Column) -> Column:
 
 def event_field(event: Column, name: str, kind: str = "string") -> Column:
     """First data node of that name, cast; NULL when the event has none."""
-    nodes = F.filter(event["data"], lambda node: node["_name"] == F.lit(name))
-    value = F.get(nodes, F.lit(0))["value"]
+    place = F.array_position(event["data"]["_name"], name).cast("int")
+    value = F.get(event["data"]["value"], place - 1)
     if kind == "binary":
         return F.unhex(value)
     return value if kind == "string" else value.try_cast(kind)

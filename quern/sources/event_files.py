@@ -32,6 +32,10 @@ def read_event_lines(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def read_event_documents(spark: SparkSession, pattern: str) -> DataFrame:
-    """Parsed events of files whose documents span lines, in column ``event``."""
+    """Parsed events of files whose events span lines, in column ``event``.
+
+    Each file must be one XML document: the events need an enclosing element, for
+    a reader stops at the end of the first top-level element.
+    """
     rows = spark.read.format("xml").option("rowTag", "event").schema(EVENT_SCHEMA)
     return rows.load(pattern).select(F.struct("_name", "data").alias("event"))
