@@ -34,7 +34,8 @@ def sum_amount(value: Column) -> Column:
 
 def average_amount(value: Column) -> Column:
     """Average of a two-decimal DOUBLE column from exact sums."""
-    return F.sum(cents(value)) / (F.count(value) * F.lit(100))
+    # Without any value there is no average, rather than a division by zero.
+    return F.sum(cents(value)) / F.nullif(F.count(value) * F.lit(100), F.lit(0))
 
 
 def whole_quotient(left: Column, right: Column) -> Column:
@@ -44,7 +45,7 @@ def whole_quotient(left: Column, right: Column) -> Column:
 
 def whole_average(value: Column) -> Column:
     """Average of an integer column with the fraction dropped."""
-    return whole_quotient(F.sum(value), F.count(value))
+    return whole_quotient(F.sum(value), F.nullif(F.count(value), F.lit(0)))
 
 
 def rounded_int(value: Column) -> Column:

@@ -88,7 +88,7 @@ def reject_ratio(spark: SparkSession, t: Tables) -> DataFrame:
     SELECT l_partkey, count(l_partkey) AS n_lines,
            CAST(sum(l_quantity) AS BIGINT) AS sum_quantity,
            CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT)
-               / (count(*) * 100)::DOUBLE AS avg_price
+               / nullif(count(l_extendedprice) * 100, 0)::DOUBLE AS avg_price
     FROM lineitem GROUP BY l_partkey
     """
 )
@@ -118,7 +118,7 @@ def having_count(spark: SparkSession, t: Tables) -> DataFrame:
     """
     SELECT p_name,
            CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT)
-               / (count(*) * 100)::DOUBLE AS avg_price
+               / nullif(count(l_extendedprice) * 100, 0)::DOUBLE AS avg_price
     FROM lineitem JOIN part ON l_partkey = p_partkey
     WHERE l_partkey = 776
     GROUP BY l_suppkey, p_name

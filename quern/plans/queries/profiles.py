@@ -85,7 +85,7 @@ def predicate_share(spark: SparkSession, t: Tables) -> DataFrame:
                AS bin,
            count(*) AS n_rows, count(DISTINCT l_extendedprice) AS n_distinct,
            min(l_extendedprice) AS lowest, max(l_extendedprice) AS highest
-    FROM lineitem, b GROUP BY 1
+    FROM lineitem, b WHERE l_extendedprice IS NOT NULL GROUP BY 1
     """
 )
 def column_histogram(spark: SparkSession, t: Tables) -> DataFrame:

@@ -19,7 +19,7 @@ from quern.streaming.live_view import LiveView
 
 def _as_events(t: Tables) -> tuple[DataFrame, Column, dict[str, Column]]:
     """The events table in the shape of captured statements."""
-    call = F.col("event_type") == "purchase"
+    call = F.col("event_type").eqNullSafe("purchase")
     text = F.concat(F.lit("SELECT a < 1 & b > 2 -- "), F.col("props"))
     duration = cents(F.col("value"))
     fields = {

@@ -32,12 +32,13 @@ HOT = {
 
 # Every seventh value of these columns is missing.
 NULLS = {
-    "lineitem": "l_orderkey l_partkey l_suppkey l_quantity l_returnflag l_shipdate".split(),
-    "orders": "o_custkey o_orderstatus o_orderdate".split(),
-    "part": "p_name p_size".split(),
-    "customer": "c_nationkey c_mktsegment c_name".split(),
+    "lineitem": "l_orderkey l_partkey l_suppkey l_quantity l_returnflag l_shipdate"
+    " l_extendedprice l_discount".split(),
+    "orders": "o_custkey o_orderstatus o_orderdate o_totalprice".split(),
+    "part": "p_name p_size p_retailprice p_type".split(),
+    "customer": "c_nationkey c_mktsegment c_name c_acctbal".split(),
     "supplier": ["s_nationkey"],
-    "events": "user_id props".split(),
+    "events": "user_id props value event_type".split(),
 }
 
 
