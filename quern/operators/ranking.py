@@ -176,7 +176,7 @@ def number_within(
     group: Sequence[str],
     terms: Sequence[Term],
     column: str = "row_number",
-    hot_rows: int = 100_000_000,
+    hot_rows: int = 20_000_000,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group in a total order.
