@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.near_dedup import near_duplicates
 from quern.llm.shipping import ship
+from quern.llm.substring_dedup import without_repeats
 
 ALL = {}
 SQL: dict[str, str] = {}
@@ -68,3 +69,34 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id",
         (F.col("doc_id") == F.col("component_id")).alias("kept"),
     )
+
+
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+x AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), f AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM x
+    ) WHERE least < doc_id
+), c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM f),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (
+    SELECT t.doc_id, count(c.i) AS n_removed,
+        string_agg(word, ' ' ORDER BY t.i) FILTER (WHERE c.i IS NULL) AS kept
+    FROM t LEFT JOIN c ON c.doc_id = t.doc_id AND c.i = t.i GROUP BY t.doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+    sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op9_super_kmer_substring_dedup", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without passages of 13 words that an earlier document has."""
+    kept = without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
