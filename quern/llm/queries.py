@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.chat import chat_examples, read_back
+from quern.llm.exact_dedup import exact_groups
 from quern.llm.near_dedup import near_duplicates
 from quern.llm.shipping import ship
 from quern.llm.substring_dedup import without_repeats
@@ -148,3 +149,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+OP10_SQL = """
+WITH d AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), g AS (
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
+        count(*) OVER (PARTITION BY t) AS group_size, sha256(t) AS text_sha256 FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
+@query("op10_extendible_hash_dedup", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts; the largest doc_id of each stays."""
+    return exact_groups(table(spark, sf_dir, "documents"))
