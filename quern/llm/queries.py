@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.llm.chat import chat_examples, read_back
 from quern.llm.exact_dedup import exact_groups
 from quern.llm.near_dedup import near_duplicates
+from quern.llm.sharding import place
 from quern.llm.shipping import ship
 from quern.llm.substring_dedup import without_repeats
 
@@ -167,3 +168,14 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with equal texts; the largest doc_id of each stays."""
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op5_virtual_slot_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 7 of near equal bytes."""
+    placed, _ = place(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        "vslot",
+    )
