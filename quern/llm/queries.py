@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.chat import chat_examples, read_back
 from quern.llm.exact_dedup import exact_groups
+from quern.llm.mixing import alternating, mix, taken_pieces
 from quern.llm.near_dedup import near_duplicates
 from quern.llm.sharding import place
 from quern.llm.shipping import ship
@@ -179,3 +180,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
         "vslot",
     )
+
+
+@query("op6_multinomial_block_mix")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix of all documents, sources weighing 3, 1, 2 in turn, of 150% of the words."""
+    placed, quotas, slots = mix(table(spark, sf_dir, "documents"), alternating())
+    taken = taken_pieces(placed, slots).groupBy("doc_id", "text_hash").agg(
+        F.sum("words").alias("taken")
+    )
+    key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text_hash")
+    goals = quotas.select(F.col("source").alias("s"), "source_size", "target")
+    return (
+        placed.withColumn("k", key)
+        .join(taken.select(key.alias("k"), "taken"), "k", "left")
+        .join(goals, F.col("source").eqNullSafe(F.col("s")))
+        .select(
+            "doc_id", "size", "source_size", "target",
+            F.coalesce("taken", F.lit(0)).alias("taken"),
+        )
+    )
