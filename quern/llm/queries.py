@@ -14,6 +14,8 @@ from quern.llm.near_dedup import near_duplicates
 from quern.llm.sharding import place
 from quern.llm.shipping import ship
 from quern.llm.substring_dedup import without_repeats
+from quern.llm.token_counts import section_tokens
+from quern.llm.token_files import read_token_files, write_token_files
 
 ALL = {}
 SQL: dict[str, str] = {}
@@ -200,3 +202,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce("taken", F.lit(0)).alias("taken"),
         )
     )
+
+
+def byte_bpe() -> str:
+    """The public 50k byte-level vocabulary, where the tokenizer files are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op7_flat_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded to flat files, and read back from them."""
+    folder, manifest = write_token_files(table(spark, sf_dir, "documents"), byte_bpe(), end_id=2)
+    return read_token_files(spark, folder, manifest)
+
+
+@query("op8_offset_mapped_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return section_tokens(table(spark, sf_dir, "documents"), byte_bpe())
