@@ -3,10 +3,13 @@
 1. Every document becomes its set of distinct word shingles, a key of that set and
    a signature of ``coordinates`` minima.  Documents with equal sets are merged
    first, so copies, however many, count once.
-2. A set is posted under (coordinate, value) pairs.  Two sets that agree in at
-   least ``least`` coordinates share one of the first ``coordinates - least + 1``
-   pairs of each in any common order (prefix principle).  The order puts frequent
-   pairs last, so that long posting lists are skipped unless a set has little else.
+2. Sets are posted under their (coordinate, value) pairs, batch by batch with counts,
+   which gives the length of every posting list.  Two sets that agree in at least
+   ``least`` coordinates share one of the first ``coordinates - least + 1`` pairs of
+   each in any common order (prefix principle); ordered by length of list, pairs that
+   no other set has come first and long lists last.  A set that shares fewer than
+   ``least`` pairs with all others has no list to merge, and a set's longest lists are
+   skipped.
 3. Short lists give pairs of sets; collisions are counted over the whole signature
    and pairs below ``least`` are dropped.  Long lists are counted inside tasks,
    block against block, and give only a forest of the retained pairs.
@@ -31,6 +34,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +42,9 @@ from quern.llm import words as W
 from quern.llm.graph import components, roots, star_edges
 from quern.session import materialize
 
-SHORT_LIST = 24
-_PAIR = pa.schema([("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+SHORT_LIST = 16
+#: Node numbers with equal higher bits form a batch of up to 4096 sets.
+BATCH_BITS = 12
 
 
 @lru_cache
@@ -122,89 +127,115 @@ def _tokens(signature: np.ndarray) -> np.ndarray:
     return signature.astype(np.uint64) | place
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values, counts = np.unique(
-            _tokens(matrix(batch.column("signature"), np.uint32)), return_counts=True
-        )
-        often = counts > 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values[often].view(np.int64)), pa.array(counts[often])],
-            names=["token", "n"],
-        )
+def _batch_tokens(table: pa.Table, buckets: int):
+    """Distinct tokens of a batch of sets, dealt to buckets: values, bucket of each
+    (ascending), number of sets with each, and the place of every set's tokens."""
+    tokens = _tokens(matrix(table.column("signature"), np.uint32))
+    values, place, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+    bucket = (W.mix(values) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    moved = np.empty_like(order)
+    moved[order] = np.arange(len(order))
+    return tokens, values[order], bucket[order], counts[order], moved[place].reshape(tokens.shape)
 
 
-def _post(prefix: int, buckets: int, hot: np.ndarray, rank: np.ndarray):
-    """Post each set under its prefix; a row holds the postings of one bucket."""
+def _packed(array: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(array).tobytes())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = batch.column("node").to_numpy()
-            tokens = _tokens(matrix(batch.column("signature"), np.uint32))
-            order = W.mix(tokens) >> np.uint64(24)  # below all ranks of frequent ones
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)
-                found = hot[at] == tokens
-                order[found] = rank[at[found]]
-            first = np.argpartition(order, prefix - 1, axis=1)[:, :prefix]
-            posted = np.take_along_axis(tokens, first, axis=1).ravel()
-            owner = np.repeat(nodes, prefix)
-            bucket = (W.mix(posted) % np.uint64(buckets)).astype(np.int64)
-            sort = np.argsort(bucket, kind="stable")
-            posted, owner, bucket = posted[sort], owner[sort], bucket[sort]
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            packed = np.stack([posted, owner.view(np.uint64)], axis=1)
-            for k in np.flatnonzero(np.diff(cuts)):
-                blob = packed[cuts[k] : cuts[k + 1]].tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int64()), pa.array([blob], pa.binary())],
-                    names=["bucket", "postings"],
-                )
+
+def _unpacked(blob: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=kind)
+
+
+def _post(buckets: int):
+    """Post a batch of sets under its tokens: one row per bucket with the batch's
+    distinct tokens and their counts, so a token in many sets is posted once."""
+
+    def run(table: pa.Table) -> pa.Table:
+        _, values, bucket, counts, _ = _batch_tokens(table, buckets)
+        cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+        spans = list(zip(cuts[:-1], cuts[1:]))
+        batch = table.column("batch")[0].as_py()
+        return pa.table(
+            {
+                "batch": pa.array([batch] * len(spans), pa.int64()),
+                "bucket": pa.array(bucket[cuts[:-1]]),
+                "tokens": pa.array([_packed(values[x:y]) for x, y in spans], pa.binary()),
+                "counts": pa.array([_packed(counts[x:y].astype(np.uint32)) for x, y in spans], pa.binary()),
+            }
+        )
 
     return run
 
 
-def _lists(short: int):
-    """Merge the postings of a task's buckets into lists.
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of sets with each token over all batches, answered batch by batch."""
+    rows = [r for batch in batches for r in batch.to_pylist()]
+    if not rows:
+        return
+    tokens = [_unpacked(r.pop("tokens"), np.uint64) for r in rows]
+    counts = [_unpacked(r.pop("counts"), np.uint32) for r in rows]
+    cuts = np.cumsum([0, *map(len, tokens)])
+    values, place = np.unique(np.concatenate(tokens), return_inverse=True)
+    total = np.bincount(place, weights=np.concatenate(counts), minlength=len(values))
+    answer = total[place].astype(np.uint64)
+    for k, r in enumerate(rows):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r["batch"]], pa.int64()), pa.array([r["bucket"]], pa.int64()),
+                pa.array([_packed(answer[cuts[k] : cuts[k + 1]])], pa.binary()),
+            ],
+            names=["batch", "bucket", "totals"],
+        )
 
-    A short list gives its pairs (token NULL); a long one its members (b NULL).
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [x for batch in batches for x in batch.column("postings").to_pylist()]
-        if not blobs:
-            return
-        packed = np.frombuffer(b"".join(blobs), dtype=np.uint64).reshape(-1, 2)
-        blobs.clear()
-        sort = np.lexsort((packed[:, 1], packed[:, 0]))
-        token, node = packed[sort, 0], packed[sort, 1].view(np.int64)
-        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        size = np.diff(np.r_[start, len(token)])
-        for m in np.unique(size):
-            if m < 2 or m > short:
-                continue
-            # All lists of one length at once: a matrix of members.
-            members = node[start[size == m][:, None] + np.arange(m)]
-            i, j = np.triu_indices(m, 1)
-            a, b = members[:, i].ravel(), members[:, j].ravel()
-            pair = np.unique(np.stack([a, b], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(pair), pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1])],
-                schema=_PAIR,
-            )
-        for s, m in zip(start[size > short], size[size > short]):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(m, token[s]).view(np.int64)),
-                    pa.array(node[s : s + m]),
-                    pa.nulls(m, pa.int64()),
-                ],
-                schema=_PAIR,
-            )
+def _prefix(least: int, buckets: int):
+    """Prefix of each set: with s of its tokens shared with other sets, the rarest
+    s - least + 1 of those.  The tokens it shares with none come first in the order
+    and need no list; the longest lists are skipped."""
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens, _, _, _, place = _batch_tokens(table, buckets)
+        answers = answers.sort_by("bucket")
+        totals = np.concatenate(
+            [_unpacked(x, np.uint64) for x in answers.column("totals").to_pylist()]
+        )[place]
+        shared = totals > 1
+        s = shared.sum(axis=1)
+        rows = np.flatnonzero(s >= least)
+        node = table.column("node").to_numpy()[rows]
+        order = np.lexsort(
+            (tokens[rows], np.where(shared[rows], totals[rows], np.uint64(1 << 62))), axis=1
+        )
+        keep = np.arange(tokens.shape[1]) < (s[rows] - least + 1)[:, None]
+        posted = np.take_along_axis(tokens[rows], order, axis=1)[keep]
+        return pa.table(
+            {"token": posted.view(np.int64), "node": np.repeat(node, keep.sum(axis=1))}
+        )
 
     return run
 
 
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the members of each short list; a task gets whole lists."""
+    table = pa.Table.from_batches(list(batches))
+    if not table.num_rows:
+        return
+    token, node = (table.column(c).to_numpy() for c in ("token", "node"))
+    sort = np.lexsort((node, token))
+    token, node = token[sort], node[sort]
+    start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    size = np.diff(np.r_[start, len(token)])
+    for m in np.unique(size[size > 1]):
+        # All lists of one length at once: a matrix of members.
+        members = np.unique(node[start[size == m][:, None] + np.arange(m)], axis=0)
+        i, j = np.triu_indices(m, 1)
+        pair = np.unique(np.stack([members[:, i].ravel(), members[:, j].ravel()], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"]
+        )
+
+
 def _connect(n: int, own: np.ndarray, compare) -> tuple[np.ndarray, np.ndarray]:
     """Forest of a similarity graph on n nodes; ``compare(i)`` gives the similar ones.
 
@@ -321,7 +352,6 @@ def near_duplicates(
     """
     spark = documents.sparkSession
     least = least_matches(coordinates, percent, miss)
-    prefix = coordinates - least + 1
     described = materialize(
         documents.select("doc_id", "text").mapInArrow(
             _describe(width, coordinates),
@@ -341,30 +371,31 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    count = nodes.count()
-    # At most coordinates * 8192 pairs are that frequent: a bounded broadcast.
-    frequent = (
-        nodes.select("signature")
-        .mapInArrow(_frequent, "token long, n long")
-        .groupBy("token").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(short_list, count // 8192))
-        .toPandas()
-    )
-    hot = frequent["token"].to_numpy().astype(np.int64).view(np.uint64)
-    sort = np.argsort(hot)
-    rank = np.uint64(1 << 40) + frequent["n"].to_numpy().astype(np.uint64)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 200_000)
-    posted = nodes.select("node", "signature").mapInArrow(
-        _post(prefix, buckets, hot[sort], rank[sort]), "bucket long, postings binary"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(tasks, nodes.count() * coordinates // 2_000_000)
+    in_batches = nodes.select(
+        F.shiftright("node", BATCH_BITS).alias("batch"), "node", "signature"
+    ).groupBy("batch")
+    answers = (
+        in_batches.applyInArrow(
+            _post(buckets), "batch long, bucket long, tokens binary, counts binary"
+        )
+        .repartition(buckets, "bucket")
+        .mapInArrow(_total, "batch long, bucket long, totals binary")
     )
-    lists = materialize(
-        posted.repartition(buckets, "bucket").mapInArrow(
-            _lists(short_list), "token long, a long, b long"
+    posted = materialize(
+        in_batches.cogroup(answers.groupBy("batch")).applyInArrow(
+            _prefix(least, buckets), "token long, node long"
         ),
-        "lists",
+        "postings",
     )
+    lengths = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    lists = posted.join(lengths, "token")
     signature = nodes.select("node", "signature")
-    pairs = lists.filter("b is not null").select("a", "b").distinct()
+    pairs = (
+        lists.filter(F.col("n") <= short_list).select("token", "node")
+        .repartition("token").mapInArrow(_pairs, "a long, b long").distinct()
+    )
     matches = F.aggregate(
         F.zip_with(
             F.sequence(F.lit(0), F.lit(coordinates - 1)), F.array(),
@@ -382,7 +413,7 @@ def near_duplicates(
     )
     long_lists = (
         in_blocks(
-            lists.filter("b is null").select("token", F.col("a").alias("node"), F.lit(1).alias("one")),
+            lists.filter(F.col("n") > short_list).select("token", "node", F.lit(1).alias("one")),
             "token", "one", block_members,
         )
         .join(signature, "node")

@@ -1,4 +1,4 @@
-"""Make this package importable for the Python workers of a session's executors."""
+"""Prepare a session: the package for its Python workers, and batches for long texts."""
 
 from __future__ import annotations
 
@@ -8,11 +8,15 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Rows are whole documents here; smaller batches bound what a worker holds.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Hand the package's sources to the executors, once per application."""
+    if spark.conf.get(_BATCH) == "10000":  # Spark's own default
+        spark.conf.set(_BATCH, "2048")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
