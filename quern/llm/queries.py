@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.chat import chat_examples, read_back
+from quern.llm.decontamination import find_leaks
 from quern.llm.exact_dedup import exact_groups
 from quern.llm.mixing import alternating, mix, taken_pieces
 from quern.llm.near_dedup import near_duplicates
@@ -222,3 +223,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return section_tokens(table(spark, sf_dir, "documents"), byte_bpe())
+
+
+@query("op3_bm25_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items found in documents: one row per document and item."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

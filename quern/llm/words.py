@@ -120,9 +120,13 @@ def split(texts: pa.Array, lower: bool = False) -> Words:
     return split_bytes(data, bounds)
 
 
-def split_bytes(data: np.ndarray, bounds: np.ndarray) -> Words:
+def split_bytes(
+    data: np.ndarray, bounds: np.ndarray, blank: np.ndarray | None = None
+) -> Words:
+    """Words of rows of bytes; ``blank`` marks other separators than blanks."""
     n = len(data)
-    blank = blanks(data)
+    if blank is None:
+        blank = blanks(data)
     cut = np.ones(n + 1, dtype=bool)  # before each byte: blank or a new row
     cut[1:n] = blank[:-1]
     cut[bounds] = True
@@ -133,6 +137,19 @@ def split_bytes(data: np.ndarray, bounds: np.ndarray) -> Words:
     return Words(data, starts, ends, first)
 
 
+def terms(texts: pa.Array) -> Words:
+    """Search terms: runs of ASCII letters, digits and non-ASCII bytes, in lower case
+    (A to Z, and the letters from U+00C0 to U+00DE)."""
+    data, bounds = text_bytes(texts)
+    data = lower_ascii(data)
+    after = np.zeros(len(data), dtype=bool)
+    after[1:] = data[:-1] == 0xC3
+    latin = after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)
+    data = np.where(latin, data + np.uint8(32), data)
+    word = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
+    return split_bytes(data, bounds, ~word)
+
+
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all runs of ``width`` words, with repeats, and row bounds.
 
