@@ -29,9 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
+from quern.session import materialize
 
 SLICE = 4 << 20
 BUCKET = 8 << 20
+CHUNK = 1 << 19
+LEVEL = 3
+FILTER_BITS = 1 << 27
 _LAST = np.iinfo(np.int64).max
 _REPLY = pa.schema(
     [("doc", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]
@@ -45,18 +49,24 @@ class Strings:
         self.doc, self.key, self.pos, self.sizes, self.data = doc, key, pos, sizes, data
 
     def pack(self) -> bytes:
+        """Compressed; entries are stored in order of document, by differences."""
+        order = np.argsort(self.doc, kind="stable")
+        it = self if (np.diff(self.doc) >= 0).all() else self.take(order)
+        steps = np.diff(it.doc.view(np.uint64), prepend=np.uint64(0))
         parts = [
-            np.array([len(self.doc)], np.int64), self.doc, self.key, self.pos, self.sizes, self.data
+            np.array([len(it.doc)], np.int64), steps, it.key.astype(np.uint32),
+            it.pos.astype(np.uint32), it.sizes.astype(np.uint32), it.data,
         ]
         raw = b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
-        return zstandard.ZstdCompressor(level=1).compress(raw)
+        return zstandard.ZstdCompressor(level=LEVEL).compress(raw)
 
     @staticmethod
     def unpack(blob: bytes) -> Strings:
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
-        doc, key, pos, sizes = np.frombuffer(raw, np.int64, 4 * n, 8).reshape(4, n)
-        return Strings(doc, key, pos, sizes, np.frombuffer(raw, np.uint8, offset=8 + 32 * n))
+        doc = np.cumsum(np.frombuffer(raw, np.uint64, n, 8)).view(np.int64)
+        key, pos, sizes = np.frombuffer(raw, np.uint32, 3 * n, 8 + 8 * n).reshape(3, n).astype(np.int64)
+        return Strings(doc, key, pos, sizes, np.frombuffer(raw, np.uint8, offset=8 + 20 * n))
 
     @staticmethod
     def joined(parts: list[Strings]) -> Strings:
@@ -69,7 +79,7 @@ class Strings:
 
     def take(self, rows: np.ndarray) -> Strings:
         bounds = self.bounds
-        data = self.data[ragged(bounds[:-1][rows], self.sizes[rows])]
+        data = gather(self.data, bounds[:-1][rows], self.sizes[rows])
         return Strings(self.doc[rows], self.key[rows], self.pos[rows], self.sizes[rows], data)
 
     def codes(self) -> tuple[np.ndarray, int]:
@@ -88,6 +98,18 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of many spans, one after the other; index arrays are kept small."""
+    ends = np.cumsum(sizes)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=data.dtype)
+    at = done = 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(ends, done + CHUNK, "right")))
+        out[done : ends[end - 1]] = data[ragged(starts[at:end], sizes[at:end])]
+        at, done = end, int(ends[end - 1])
+    return out
+
+
 def least_of(values: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
     out = np.full(n, _LAST, dtype=np.int64)
     np.minimum.at(out, codes, values)
@@ -138,7 +160,7 @@ def _super_kmers(words: W.Words, doc, key, window: int, gram: int):
     a, b = place[words.starts[first]], place[words.ends[first + spans - 1]]
     owner = rows[first]
     found = Strings(
-        doc[owner], key[owner], first - words.first[owner], b - a, data[ragged(a, b - a)]
+        doc[owner], key[owner], first - words.first[owner], b - a, gather(data, a, b - a)
     )
     return found, spans, grams[at[new]]
 
@@ -323,7 +345,7 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(
-    documents: DataFrame, window: int = 13, gram: int = 4, buckets: int | None = None
+    documents: DataFrame, window: int = 13, gram: int = 3, buckets: int | None = None
 ) -> DataFrame:
     """``doc``, ``key`` and the word span [start, end) of every repeated passage.
 
@@ -349,26 +371,52 @@ def keyed(documents: DataFrame) -> DataFrame:
     return documents.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(_LAST)).alias("doc"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("key"),
         "text",
     )
 
 
-def without_repeats(documents: DataFrame, window: int = 13, gram: int = 4) -> DataFrame:
+def maybe_in(rows: DataFrame, keys: DataFrame, on: list[str], column: str) -> DataFrame:
+    """Add whether a row's key may occur among ``keys``: never False if it does.
+
+    A bitmap of FILTER_BITS hash positions is built from the keys and broadcast; it
+    has 16 MB whatever their number.  Bits that clash only let more rows through.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    bitmap = keys.groupBy(bucket.alias("__bucket")).agg(F.bitmap_construct_agg(bit).alias("__bits"))
+    byte = F.conv(F.hex(F.substring("__bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10)
+    power = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))
+    found = byte.cast("int").bitwiseAND(power) > 0
+    return (
+        rows.join(F.broadcast(bitmap), bucket == F.col("__bucket"), "left")
+        .withColumn(column, F.coalesce(found, F.lit(False)))
+        .drop("__bucket", "__bits")
+    )
+
+
+def without_repeats(documents: DataFrame, window: int = 13, gram: int = 3) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept_text`` of every document.
 
     A word goes when a window that covers it also starts in a document with a smaller
     doc_id; all windows are judged on the input.
     """
-    spans = (
+    spans = materialize(
         repeated_spans(documents, window, gram)
         .groupBy("doc", "key")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        .agg(F.collect_list(
+            F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))
+        ).alias("spans")),
+        "spans",
     )
-    return (
-        keyed(documents)
-        .join(spans.hint("shuffle_hash"), ["doc", "key"], "left")
+    rows = maybe_in(keyed(documents), spans, ["doc", "key"], "__cut")
+    # Only texts that may lose words travel to meet their spans.
+    cut = (
+        rows.filter("__cut").join(spans.hint("shuffle_hash"), ["doc", "key"], "left")
         .select("doc_id", "text", "spans")
-        .mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept_text string")
     )
-
+    whole = rows.filter("not __cut").select(
+        "doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
+    )
+    out = "doc_id long, n_words long, n_removed long, kept_text string"
+    return cut.mapInArrow(_keep, out).unionByName(whole.mapInArrow(_keep, out))
