@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.llm.chat import chat_examples, read_back
 from quern.llm.decontamination import find_leaks
 from quern.llm.exact_dedup import exact_groups
+from quern.llm.language_id import Model, identify, is_held_out
 from quern.llm.mixing import alternating, mix, taken_pieces
 from quern.llm.near_dedup import near_duplicates
 from quern.llm.sharding import place
@@ -229,3 +230,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test items found in documents: one row per document and item."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_mixture_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    model = Model.learn(documents.filter(~is_held_out()))
+    found = identify(documents.select("doc_id", is_held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
