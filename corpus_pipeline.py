@@ -1,7 +1,82 @@
-"""Placeholder until the stages are written."""
-STAGES = []
+"""From raw documents to shards of a training mix, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns the documents that go on; every
+result is written as Parquet and read again before the next stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.llm import decontamination, language_id, mixing, near_dedup, sharding
+from quern.llm.shipping import ship
+from quern.session import materialize
+
+#: A document is rejected when it has no letter or no language has this share of it.
+LEAST_SHARE = 0.4
+SHARDS = 8
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without an identified language; fill in missing languages."""
+    ship(spark)
+    model = language_id.Model.learn(docs)
+    found = language_id.identify(docs, model)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    return (
+        found.filter(known)
+        .withColumn("lang", F.coalesce("lang", "lang_pred"))
+        .select(*docs.columns)
+    )
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest doc_id of each near-duplicate class."""
+    ship(spark)
+    classes = near_dedup.near_duplicates(docs, width=5, percent=80)
+    stays = (
+        classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    )
+    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")))
+    once = kept.filter("__n = 1").select(*docs.columns)
+    repeated = kept.filter("__n > 1").select(*docs.columns)
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a test item's question and answer."""
+    ship(spark)
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' words that a mix with weights 3, 1, 2 takes, pass by pass."""
+    return mixing.mixed_documents(docs, mixing.alternating())
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place all rows in shards of near equal bytes."""
+    placed, _ = sharding.place(docs, SHARDS)
+    return placed
+
+
+STAGES = [
+    ("language_id", identify_languages),
+    ("near_dedup", drop_near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mix", mix_sources),
+    ("shard", shard),
+]
+
+#: The tokens of language models and signatures are not expressible in SQL; the stages
+#: are tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

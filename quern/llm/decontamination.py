@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
+from quern.session import materialize
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
@@ -313,5 +314,10 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, **options) -> Data
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
     # find_leaks passes an id through; here that is the row's key.
     keyed = documents.select(key.alias("doc_id"), "text")
-    leaks = find_leaks(keyed, benchmark, **options).select(F.col("doc_id").alias("__leak")).distinct()
+    # Stored first: its size is known when the join is planned, and few leaks spare
+    # all texts a shuffle.
+    leaks = materialize(
+        find_leaks(keyed, benchmark, **options).select(F.col("doc_id").alias("__leak")).distinct(),
+        "leaks",
+    )
     return documents.join(leaks, key == F.col("__leak"), "left_anti")

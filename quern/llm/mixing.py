@@ -195,7 +195,7 @@ def pieces(placed: DataFrame, block: int = BLOCK) -> DataFrame:
         placed.filter("size > 0")
         .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), last)))
         .select(
-            "doc_id", "text_hash", "source", "block",
+            "doc_id", "text_hash", "source", "start", "block",
             (begins - F.col("start")).alias("first"), (ends - begins).alias("words"),
         )
     )
@@ -213,6 +213,40 @@ def taken_pieces(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> Dat
     return parts.join(used, ["s", "none", "block"]).drop("s", "none")
 
 
+def mixed_documents(
+    documents: DataFrame, weights: Column, block: int = BLOCK, **options
+) -> DataFrame:
+    """The mix as documents: per document and pass, the words that the mix takes.
+
+    All columns stay; ``text`` is unchanged where a pass takes the whole document, and
+    else the taken words joined by one space; ``n_chars`` is its length.  Rows with
+    equal doc_id and text each get what is taken of any of them.
+    """
+    placed, _, slots = mix(documents, weights, block=block, **options)
+    taken = (
+        taken_pieces(placed, slots, block)
+        .groupBy("doc_id", "text_hash", "pass")
+        .agg(F.array_sort(F.collect_set(F.struct("first", "words"))).alias("parts"))
+        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "parts")
+    )
+    words = word_list()
+    # Neighbouring pieces of one document are cut from its list of words in order.
+    cut = F.flatten(
+        F.transform(
+            "parts",
+            lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")),
+        )
+    )
+    total = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    text = F.when(total == word_count(), F.col("text")).otherwise(F.array_join(cut, " "))
+    own = (F.xxhash64("text") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    kept = [F.col(c) for c in documents.columns if c not in ("text", "n_chars")]
+    mixed = documents.join(taken, own).select(*kept, text.alias("text"))
+    if "n_chars" in documents.columns:
+        mixed = mixed.withColumn("n_chars", F.char_length("text").cast("long"))
+    return mixed.select(*documents.columns)
+
+
 def alternating(place: str = "place") -> Column:
     """Weights 3, 1, 2, repeating over the sources."""
     return F.element_at(F.array(F.lit(3), F.lit(1), F.lit(2)), (F.col(place) % 3 + 1).cast("int"))

@@ -190,13 +190,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mix of all documents, sources weighing 3, 1, 2 in turn, of 150% of the words."""
     placed, quotas, slots = mix(table(spark, sf_dir, "documents"), alternating())
-    taken = taken_pieces(placed, slots).groupBy("doc_id", "text_hash").agg(
-        F.sum("words").alias("taken")
-    )
-    key = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text_hash")
+    taken = taken_pieces(placed, slots).groupBy("source", "start").agg(F.sum("words").alias("taken"))
+    # A place in a source's stream names the document with words that begins there.
+    key = F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull(), "start")
     goals = quotas.select(F.col("source").alias("s"), "source_size", "target")
     return (
-        placed.withColumn("k", key)
+        placed.withColumn("k", F.when(F.col("size") > 0, key))
         .join(taken.select(key.alias("k"), "taken"), "k", "left")
         .join(goals, F.col("source").eqNullSafe(F.col("s")))
         .select(
