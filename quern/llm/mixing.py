@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from quern.session import materialize
 
-BLOCK = 256
-SHARD_SLOTS = 512
+BLOCK = 128
+SHARD_SLOTS = 1024
 _ROUNDS = 24
 _BUCKETS = 1024
 

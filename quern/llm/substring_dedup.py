@@ -49,13 +49,11 @@ class Strings:
         self.doc, self.key, self.pos, self.sizes, self.data = doc, key, pos, sizes, data
 
     def pack(self) -> bytes:
-        """Compressed; entries are stored in order of document, by differences."""
-        order = np.argsort(self.doc, kind="stable")
-        it = self if (np.diff(self.doc) >= 0).all() else self.take(order)
-        steps = np.diff(it.doc.view(np.uint64), prepend=np.uint64(0))
+        """Compressed; documents are stored by differences, as most are in order."""
+        steps = np.diff(self.doc.view(np.uint64), prepend=np.uint64(0))
         parts = [
-            np.array([len(it.doc)], np.int64), steps, it.key.astype(np.uint32),
-            it.pos.astype(np.uint32), it.sizes.astype(np.uint32), it.data,
+            np.array([len(self.doc)], np.int64), steps, self.key.astype(np.uint32),
+            self.pos.astype(np.uint32), self.sizes.astype(np.uint32), self.data,
         ]
         raw = b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
         return zstandard.ZstdCompressor(level=LEVEL).compress(raw)
