@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
-from quern.llm.graph import components, roots, star_edges
+from quern.llm.graph import components
+from quern.llm.key_filter import maybe_in
 from quern.session import materialize
 
 SHORT_LIST = 16
@@ -236,12 +237,11 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _connect(n: int, own: np.ndarray, compare) -> tuple[np.ndarray, np.ndarray]:
+def _connect(n: int, compare) -> tuple[np.ndarray, np.ndarray]:
     """Forest of a similarity graph on n nodes; ``compare(i)`` gives the similar ones.
 
     Nodes of the largest component so far never need comparing with each other, so
-    only nodes outside it are compared with all.  ``own`` marks two blocks: pairs
-    inside one block are left to the task of that block when both are present.
+    only nodes outside it are compared with all.
     """
     label = np.arange(n)
     left, right = [], []
@@ -273,7 +273,7 @@ def _long_list(least: int):
         def compare(i: int) -> np.ndarray:
             return np.flatnonzero((signature == signature[i]).sum(axis=1) >= least)
 
-        a, b = _connect(len(node), None, compare)
+        a, b = _connect(len(node), compare)
         return pa.table({"a": node[a], "b": node[b]})
 
     return run
@@ -310,7 +310,7 @@ def _verify(width: int, percent: int):
             near[i] = False
             return np.flatnonzero(near)
 
-        a, b = _connect(len(kept), None, compare)
+        a, b = _connect(len(kept), compare)
         kept = np.array(kept, dtype=np.int64)
         return pa.table({"a": kept[a], "b": kept[b]})
 
@@ -425,7 +425,11 @@ def near_duplicates(
         nodes.select("node", "doc_id", "set_key", "n_shingles").join(candidates, "node"),
         "candidates",
     )
-    texts = documents.select(F.col("doc_id").alias("__id"), "text")
+    # Only texts of candidates travel, however many candidates there are.
+    texts = maybe_in(
+        documents.select(F.col("doc_id").alias("__id"), "text"),
+        members.select(F.col("doc_id").alias("__id")), ["__id"], "__candidate",
+    ).filter("__candidate").drop("__candidate")
     dealt = in_blocks(
         members, "component", "n_shingles", block_shingles
     ).join(texts, F.col("doc_id").eqNullSafe(F.col("__id")))
