@@ -150,9 +150,9 @@ def directory_table(
 ) -> DataFrame:
     """The stored directory: ``slot``, ``bucket``, ``owner`` for each hash prefix."""
     prefix = F.shiftright(F.col("hash"), 64 - bits) + (1 << (bits - 1))
-    loads = entries.groupBy(prefix.alias("slot")).agg(F.sum("size").alias("size")).toPandas()
+    loads = entries.groupBy(prefix.alias("slot")).agg(F.sum("size").alias("size")).toArrow()
     sizes = np.zeros(1 << bits, dtype=np.int64)
-    sizes[loads["slot"].to_numpy().astype(np.int64)] = loads["size"].to_numpy()
+    sizes[loads["slot"].to_numpy()] = loads["size"].to_numpy()
     capacity = max(capacity, int(sizes.sum()) >> bits)
     directory, depth, _ = grow_directory(sizes, capacity)
     bucket = np.repeat(directory, 1 << (bits - depth))

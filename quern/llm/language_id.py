@@ -24,11 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm import words as W
+from quern.session import materialize
 
 SLOTS = 1 << 15
 #: A model has at most this many languages; more raise an error.
@@ -102,10 +104,11 @@ class Model:
     def learn(labelled: DataFrame) -> Model:
         """Count all texts of ``text``, ``lang``; at most MOST_LANGUAGES * SLOTS sums
         reach the driver."""
-        sums = (
+        sums = materialize(
             labelled.filter("lang is not null and text is not null").select("text", "lang")
             .mapInArrow(_count, "lang string, slot long, n long")
-            .groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+            .groupBy("lang", "slot").agg(F.sum("n").alias("n")),
+            "trigrams",
         )
         languages = sorted(
             r["lang"] for r in sums.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()
@@ -113,9 +116,9 @@ class Model:
         if len(languages) > MOST_LANGUAGES:
             raise ValueError(f"more than {MOST_LANGUAGES} languages")
         counts = np.zeros((SLOTS, len(languages)))
-        rows = sums.toPandas()
-        place = {lang: i for i, lang in enumerate(languages)}
-        counts[rows["slot"], rows["lang"].map(place)] = rows["n"]
+        rows = sums.toArrow()
+        lang = pc.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy()
+        counts[rows["slot"].to_numpy(), lang] = rows["n"].to_numpy()
         counts += 0.5
         return Model(languages, np.log(counts / counts.sum(axis=0)) if languages else counts)
 
