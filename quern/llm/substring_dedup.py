@@ -32,7 +32,7 @@ from quern.llm import words as W
 from quern.llm.key_filter import maybe_in
 from quern.session import materialize
 
-SLICE = 4 << 20
+SLICE = 3 << 20
 BUCKET = 8 << 20
 CHUNK = 1 << 19
 LEVEL = 3
@@ -212,7 +212,7 @@ def _same_windows(words: W.Words, starts: np.ndarray, window: int) -> np.ndarray
     size = b - a
     rest = np.flatnonzero(~new)
     differs = size[order[rest]] != size[head[rest]]
-    step = max(1, (8 << 20) // (int(size.max()) + 1)) if len(size) else 1
+    step = max(1, CHUNK // (int(size.max()) + 1)) if len(size) else 1
     for k in range(0, len(rest), step):
         r = rest[k : k + step][~differs[k : k + step]]
         if not len(r):
@@ -268,9 +268,8 @@ def _count(window: int):
     """Sort and count the windows of each bucket; rows come in order of bucket."""
 
     def spans(found: Strings) -> np.ndarray:
-        blanks = np.concatenate([[0], np.cumsum(found.data == 32)])
-        bounds = found.bounds
-        return blanks[bounds[1:]] - blanks[bounds[:-1]] + 1
+        """Words of each string."""
+        return np.add.reduceat(found.data == 32, found.bounds[:-1], dtype=np.int64) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Strings] = []

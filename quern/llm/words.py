@@ -70,7 +70,17 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return mix(running(_BYTE[self.data], self.starts, self.ends))
+        """A hash of each word's bytes; long slices are worked on in parts."""
+        n = len(self.starts)
+        out = np.empty(n, dtype=np.uint64)
+        at = 0
+        while at < n:
+            begin = int(self.starts[at])
+            end = max(at + 1, int(np.searchsorted(self.ends, begin + SLICE_BYTES, "right")))
+            part = _BYTE[self.data[begin : self.ends[end - 1]]]
+            out[at:end] = running(part, self.starts[at:end] - begin, self.ends[at:end] - begin)
+            at = end
+        return mix(out)
 
 
 def text_column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
