@@ -6,11 +6,10 @@ longest item, so each run of L words lies whole in some passage.  A posting's im
 is the item's BM25 weight for the term divided by the item's weight against itself:
 a score of 1 means that all its terms are there, and one threshold serves all items.
 
-Per slice of texts, the terms of all passages are looked up at once and their
-block-maximum impacts are summed per passage and block of items.  Only passages whose
-bound reaches the threshold in some block walk the posting lists, document at a time,
-with the WAND pivot rule and block-max skips.  Retrieved items are verified: the
-share of the question's and of the answer's word shingles that occur in the passage
+The passages of a slice of texts are searched together: the WAND pivot rule picks the
+posting lists that are merged, block-maximum impacts bound the items met there, and
+only items whose bound reaches the threshold are scored.  Retrieved items are
+verified: the share of the question's and of the answer's word shingles that occur in the passage
 must both reach ``overlap``.
 
 An item's answer is what follows its last question mark, or else its last sentence, or
@@ -34,11 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
+from quern.llm.tokenizing import ragged
 from quern.session import materialize
 
 K1, B = 1.2, 0.75
 SHINGLE = 5
 INDEX_WORDS = 1_000_000
+EPSILON = 1e-9
 _LEAKS = pa.schema(
     [
         ("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()),
@@ -107,6 +108,7 @@ class Index:
     block: int  # items per block
     block_most: np.ndarray  # largest impact per term and block
     length: int  # words of the longest item
+    postings: np.ndarray  # term * number of items + item, ascending
 
     @staticmethod
     def build(rows: list, df: dict[int, int], n_items: int, mean_words: float) -> Index:
@@ -132,61 +134,59 @@ class Index:
         return Index(
             [r["item_id"] for r in rows], words, [r["question_words"] for r in rows],
             terms, starts, item, impact, np.maximum.reduceat(impact, starts[:-1]), block,
-            block_most, max(map(len, words)),
+            block_most, max(map(len, words)), of_term * len(words) + item,
         )
 
 
-def wand(index: Index, query: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-    """All items whose score for the distinct terms ``query`` reaches the threshold.
+def wand(
+    index: Index, passage: np.ndarray, term: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All (passage, item, score) with a score of at least ``threshold``.
 
-    Cursors stand at postings of the query's terms.  In order of their items, the pivot
-    is the first cursor where the terms' maxima add up to the threshold; no item before
-    it can reach it.  If the block maxima around the pivot do not reach it either, the
-    cursors skip to the end of that block; else the pivot's item is scored once all
-    cursors before it have caught up.
+    ``passage`` and ``term`` are distinct pairs, passages numbered from 0 in order.
+    Many queries advance together.  The terms of each are ordered by their largest
+    impact; the pivot is the first term where these maxima add up to the threshold.
+    An item without a term from the pivot on cannot reach it, so only the lists from
+    the pivot on are merged.  What an item has there, plus the block maxima of the
+    terms before the pivot, bounds its score; an item below is skipped.  For the rest,
+    the lists before the pivot are searched.
     """
-    end = len(index.words)
-    cursors = [[int(index.starts[t]), int(index.starts[t + 1]), int(t)] for t in query]
-    items, impacts, most = index.items, index.impacts, index.most
-    found = []
-
-    def at(cursor) -> int:
-        return int(items[cursor[0]]) if cursor[0] < cursor[1] else end
-
-    def forward(cursor, item: int) -> None:
-        cursor[0] += int(np.searchsorted(items[cursor[0] : cursor[1]], item))
-
-    while True:
-        cursors = sorted((c for c in cursors if c[0] < c[1]), key=at)
-        bound, pivot = 0.0, None
-        for k, cursor in enumerate(cursors):
-            bound += most[cursor[2]]
-            if bound >= threshold:
-                pivot = k
-                break
-        if pivot is None:
-            return found
-        item = at(cursors[pivot])
-        while pivot + 1 < len(cursors) and at(cursors[pivot + 1]) == item:
-            pivot += 1
-        block = item // index.block
-        best = sum(float(index.block_most[c[2], block]) for c in cursors[: pivot + 1])
-        if best < threshold:
-            # Up to the block's end, or to the next cursor, nothing can reach it.
-            step = (block + 1) * index.block
-            if pivot + 1 < len(cursors):
-                step = min(step, at(cursors[pivot + 1]))
-            for cursor in cursors[: pivot + 1]:
-                forward(cursor, max(step, item + 1))
-        elif at(cursors[0]) == item:
-            score = float(sum(impacts[c[0]] for c in cursors[: pivot + 1]))
-            if score >= threshold:
-                found.append((item, score))
-            for cursor in cursors[: pivot + 1]:
-                cursor[0] += 1
-        else:
-            for cursor in cursors[:pivot]:
-                forward(cursor, item)
+    n_items = len(index.words)
+    most = index.most[term]
+    order = np.lexsort((most, passage))
+    passage, term, most = passage[order], term[order], most[order]
+    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+    upto = np.cumsum(most)
+    number = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(term)]))
+    upto -= (upto[starts] - most[starts])[number]
+    late = upto >= threshold - EPSILON
+    before = np.bincount(number[~late], minlength=len(starts))
+
+    lists = term[late]
+    sizes = index.starts[lists + 1] - index.starts[lists]
+    rows = ragged(index.starts[lists], sizes)
+    merged = np.repeat(number[late], sizes) * n_items + index.items[rows]
+    key, place = np.unique(merged, return_inverse=True)
+    score = np.bincount(place, index.impacts[rows], minlength=len(key))
+    query, item = key // n_items, key % n_items
+
+    bounds = np.zeros((len(starts), index.block_most.shape[1]), np.float32)
+    some = before > 0
+    if some.any():
+        early = np.flatnonzero(~late)
+        first = np.concatenate([[0], np.cumsum(before)])[:-1][some]
+        bounds[some] = np.add.reduceat(index.block_most[term[early]], first, axis=0)
+    alive = score + bounds[query, item // index.block] >= threshold - EPSILON
+    query, item, score = query[alive], item[alive], score[alive]
+
+    sizes = before[query]
+    wanted = term[ragged(starts[query], sizes)] * n_items + np.repeat(item, sizes)
+    postings = index.postings
+    at = np.minimum(np.searchsorted(postings, wanted), len(postings) - 1)
+    impact = np.where(postings[at] == wanted, index.impacts[at], 0.0)
+    score += np.bincount(np.repeat(np.arange(len(query)), sizes), impact, minlength=len(query))
+    found = score >= threshold - EPSILON
+    return passage[starts[query[found]]], item[found], score[found]
 
 
 def _overlap(have: np.ndarray, want: np.ndarray) -> float:
@@ -211,29 +211,24 @@ def _leaks_of(index: Index, texts: pa.Array, threshold: float, overlap: float) -
     number = np.r_[base[rows[here]] + segment[here], base[rows[back]] + segment[back] - 1]
     key = np.unique(number * len(index.terms) + np.r_[term[here], term[back]])
     passage, term = key // len(index.terms), key % len(index.terms)
-    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-    bounds = np.add.reduceat(index.block_most[term], starts, axis=0)
-    ends = np.r_[starts[1:], len(term)]
     best: dict[tuple[int, int], tuple] = {}
-    for k in np.flatnonzero(bounds.max(axis=1) >= threshold):
-        p = int(passage[starts[k]])
+    have, shown = None, -1
+    for p, item, score in zip(*(x.tolist() for x in wand(index, passage, term, threshold))):
         row = int(np.searchsorted(base, p, "right")) - 1
         a = int(words.first[row]) + (p - int(base[row])) * length
         b = min(a + 2 * length, int(words.first[row + 1]))
-        have = None
-        for item, score in wand(index, term[starts[k] : ends[k]], threshold):
-            if have is None:
-                have = {n: _runs(h[a:b], n) for n in range(1, SHINGLE + 1)}
-            q = index.question[item]
-            question, answer = index.words[item][:q], index.words[item][q:]
-            shares = [
-                _overlap(have[min(SHINGLE, len(x))], _shingles(x)) if len(x) else 1.0
-                for x in (question, answer)
-            ]
-            if min(shares) >= overlap:
-                old = best.get((row, item))
-                if old is None or score > old[0]:
-                    best[row, item] = (score, *shares, a - int(words.first[row]))
+        if p != shown:
+            have, shown = {n: _runs(h[a:b], n) for n in range(1, SHINGLE + 1)}, p
+        q = index.question[item]
+        question, answer = index.words[item][:q], index.words[item][q:]
+        shares = [
+            _overlap(have[min(SHINGLE, len(x))], _shingles(x)) if len(x) else 1.0
+            for x in (question, answer)
+        ]
+        if min(shares) >= overlap:
+            old = best.get((row, item))
+            if old is None or score > old[0]:
+                best[row, item] = (score, *shares, a - int(words.first[row]))
     return [(row, item, *rest) for (row, item), rest in best.items()]
 
 

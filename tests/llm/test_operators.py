@@ -220,15 +220,18 @@ def test_wand_finds_what_full_scoring_finds():
     df = Counter(t for r in rows for t in set(r["words"]))
     index = decontamination.Index.build(rows, df, 300, float(np.mean([len(r["words"]) for r in rows])))
     for threshold in (0.1, 0.4, 0.8):
-        for _ in range(30):
-            query = np.unique(rng.integers(0, len(index.terms), rng.integers(1, 60)))
+        queries = [np.unique(rng.integers(0, len(index.terms), rng.integers(1, 60))) for _ in range(30)]
+        number = np.repeat(np.arange(30), [len(q) for q in queries])
+        found = defaultdict(dict)
+        for q, item, value in zip(*decontamination.wand(index, number, np.concatenate(queries), threshold)):
+            found[q][item] = value
+        for q, query in enumerate(queries):
             score = np.zeros(300)
             for t in query:
                 span = slice(index.starts[t], index.starts[t + 1])
                 score[index.items[span]] += index.impacts[span]
-            found = dict(decontamination.wand(index, query, threshold))
-            assert set(found) == set(np.flatnonzero(score >= threshold).tolist())
-            assert all(abs(found[i] - score[i]) < 1e-9 for i in found)
+            assert set(found[q]) == set(np.flatnonzero(score >= threshold - 1e-9).tolist())
+            assert all(abs(v - score[i]) < 1e-9 for i, v in found[q].items())
 
 
 def test_leaks_with_the_index_in_blocks(spark):
