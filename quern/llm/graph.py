@@ -91,7 +91,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         state = now
     else:
         raise RuntimeError("components did not settle")
-    low = stars.groupBy("b").agg(F.first("b").alias("component"))
-    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        low.select(F.col("b").alias("node"), "component")
-    )
+    centres = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)

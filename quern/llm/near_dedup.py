@@ -396,15 +396,11 @@ def near_duplicates(
         lists.filter(F.col("n") <= short_list).select("token", "node")
         .repartition("token").mapInArrow(_pairs, "a long, b long").distinct()
     )
-    matches = F.aggregate(
-        F.zip_with(
-            F.sequence(F.lit(0), F.lit(coordinates - 1)), F.array(),
-            lambda i, _: (
-                F.substring("sa", 4 * i + 1, 4) == F.substring("sb", 4 * i + 1, 4)
-            ).cast("int"),
-        ),
-        F.lit(0), lambda x, y: x + y,
+    same = F.transform(
+        F.sequence(F.lit(0), F.lit(coordinates - 1)),
+        lambda i: F.substring("sa", 4 * i + 1, F.lit(4)) == F.substring("sb", 4 * i + 1, F.lit(4)),
     )
+    matches = F.size(F.filter(same, lambda x: x))
     retained = (
         pairs.join(signature.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
         .join(signature.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
