@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
@@ -71,17 +71,31 @@ def attribute(
     return section, crossing
 
 
-def _count(tokenizer: str):
+def line_lengths(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of each line and lines per row; a newline belongs to the line it ends."""
+    data, bounds = W.text_bytes(texts)
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    breaks = np.flatnonzero(data == 10)
+    row = np.searchsorted(bounds, breaks, "right") - 1
+    at = np.concatenate([bounds[:-1], breaks + 1])
+    order = np.lexsort((at, np.concatenate([np.arange(len(texts)), row])))
+    sizes = np.diff(np.append(chars[at[order]], chars[-1]))
+    return sizes, 1 + np.bincount(row, minlength=len(texts))
+
+
+def _count(tokenizer: str, by_line: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
             texts = W.text_column(batch, "text")
-            lengths = batch.column("lengths")
             ids = batch.column("doc_id")
             for at, part in W.slices(texts, SLICE):
-                own = lengths.slice(at, len(part))
-                sizes = own.flatten().to_numpy().astype(np.int64)
-                per_row = own.value_lengths().to_numpy()
+                if by_line:
+                    sizes, per_row = line_lengths(part)
+                else:
+                    own = batch.column("lengths").slice(at, len(part))
+                    sizes = own.flatten().to_numpy().astype(np.int64)
+                    per_row = own.value_lengths().to_numpy()
                 cuts = np.concatenate([[0], np.cumsum(sizes)])
                 opens = np.concatenate([[0], np.cumsum(per_row)])
                 start, end, upto = token_spans(encode, part)
@@ -105,15 +119,6 @@ def _count(tokenizer: str):
     return run
 
 
-def line_lengths(text: Column) -> Column:
-    """Characters of each line; the newline belongs to the line that it ends."""
-    lines = F.split(text, "\n")
-    return F.transform(
-        lines,
-        lambda line, i: F.char_length(line) + F.when(i < F.size(lines) - 1, F.lit(1)).otherwise(F.lit(0)),
-    )
-
-
 def section_tokens(
     documents: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("text",)
 ) -> DataFrame:
@@ -124,12 +129,8 @@ def section_tokens(
     by a newline before they are encoded, each is a section with the newline after it.
     """
     parts = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
-    if len(parts) == 1:
-        text, lengths = parts[0], line_lengths(parts[0])
-    else:
-        text = F.concat_ws("\n", *parts)
-        lengths = F.array(
-            *[F.char_length(p) + (1 if i < len(parts) - 1 else 0) for i, p in enumerate(parts)]
-        )
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), lengths.alias("lengths"))
-    return rows.mapInArrow(_count(tokenizer), _OUT)
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.concat_ws("\n", *parts).alias("text")]
+    if len(parts) > 1:
+        lengths = [F.char_length(p) + (1 if p is not parts[-1] else 0) for p in parts]
+        columns.append(F.array(*lengths).alias("lengths"))
+    return documents.select(*columns).mapInArrow(_count(tokenizer, len(parts) == 1), _OUT)
