@@ -97,9 +97,13 @@ def streams(documents: DataFrame) -> DataFrame:
     Documents are dealt into ``_BUCKETS`` hash buckets per source.  Buckets follow each
     other in the stream, and documents by doc_id inside a bucket.
     """
-    rows = documents.select(
-        "doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size")
-    ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(_BUCKETS)))
+    # Stored without texts: words are counted once, and the rows are read twice.
+    rows = materialize(
+        documents.select(
+            "doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size")
+        ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(_BUCKETS))),
+        "sizes",
+    )
     per_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     opens = per_bucket.select(
@@ -128,13 +132,15 @@ def draw_slots(quotas: DataFrame, seed: int, shard_slots: int = SHARD_SLOTS) ->
     before = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # A number of partitions of its own: they are small until the slots are made.
+    tasks = int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = (
         quotas.withColumn("from", F.coalesce(F.sum("slots").over(before), F.lit(0)))
         .withColumn("n", F.sum("slots").over(Window.partitionBy(F.lit(0))))
         .filter("slots > 0")
         # A large source is expanded in pieces, so that no task makes all its slots.
         .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.lit(4096).cast("long"))))
-        .repartition("source", "piece")
+        .repartition(tasks, "source", "piece")
         .withColumn("m", F.explode(F.sequence("piece", F.least(F.col("piece") + 4095, F.col("slots") - 1))))
     )
     image = permuted(F.col("from") + F.col("m"), F.col("n"), F.lit(seed))
@@ -229,13 +235,19 @@ def mixed_documents(
         .agg(F.array_sort(F.collect_set(F.struct("first", "words"))).alias("parts"))
         .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "parts")
     )
-    words = word_list()
-    # Neighbouring pieces of one document are cut from its list of words in order.
-    cut = F.flatten(
+    # Neighbouring pieces of one document are cut from its list of words in order.  The
+    # list is an element, and so a variable below: else each piece would split the text.
+    cut = F.element_at(
         F.transform(
-            "parts",
-            lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")),
-        )
+            F.array(word_list()),
+            lambda words: F.flatten(
+                F.transform(
+                    "parts",
+                    lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")),
+                )
+            ),
+        ),
+        1,
     )
     total = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["words"])
     text = F.when(total == word_count(), F.col("text")).otherwise(F.array_join(cut, " "))
