@@ -196,6 +196,8 @@ def _deal(window: int, gram: int, buckets: int):
                         np.zeros(0, np.uint8),
                     )
                     yield _rows(names, bucket[:1], np.ones(1, bool), [reply.pack()])
+                del made, found, out
+                W.give_back()
 
     return run
 
@@ -281,9 +283,12 @@ def _count(window: int):
         def close() -> Iterator[pa.RecordBatch]:
             if held:
                 found, _, _, gone = combine(joined := Strings.joined(held), spans(joined))
+                del joined
                 held.clear()
                 yield reply(gone)
                 yield reply(_settle(found, window))
+                del found
+                W.give_back()
 
         for batch in batches:
             for bucket, decided, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):

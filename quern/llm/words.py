@@ -7,6 +7,7 @@ splitting bytes and splitting characters agree.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,6 +84,15 @@ class Words:
         return mix(out)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; worker processes live on after a task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; it keeps what it likes
+
+
 def text_column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     column = batch.column(name)
     if isinstance(column, pa.ChunkedArray):
