@@ -105,18 +105,19 @@ def _describe(width: int, coordinates: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.text_column(batch, "text")
-            ids = batch.column("doc_id")
+            ids, text_keys = batch.column("doc_id"), batch.column("text_key")
             for at, part in W.slices(texts):
                 h, bounds = W.shingles(W.split(part, lower=True), width)
                 sets, bounds = W.distinct_within(h, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(at, len(part)),
+                        text_keys.slice(at, len(part)),
                         pa.array(np.diff(bounds)),
                         fixed_binary(_set_keys(sets, bounds)),
                         fixed_binary(signatures(sets, bounds, coordinates)),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "signature"],
+                    names=["doc_id", "text_key", "n_shingles", "set_key", "signature"],
                 )
 
     return run
@@ -352,10 +353,11 @@ def near_duplicates(
     """
     spark = documents.sparkSession
     least = least_matches(coordinates, percent, miss)
+    text_key = F.xxhash64("text")  # with doc_id, finds a text again
     described = materialize(
-        documents.select("doc_id", "text").mapInArrow(
+        documents.select("doc_id", text_key.alias("text_key"), "text").mapInArrow(
             _describe(width, coordinates),
-            "doc_id long, n_shingles long, set_key binary, signature binary",
+            "doc_id long, text_key long, n_shingles long, set_key binary, signature binary",
         ),
         "sets",
     )
@@ -365,6 +367,7 @@ def near_duplicates(
         .groupBy("set_key")
         .agg(
             F.min("doc_id").alias("doc_id"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
         )
@@ -418,17 +421,21 @@ def near_duplicates(
     )
     candidates = components(retained.unionByName(long_lists))
     members = materialize(
-        nodes.select("node", "doc_id", "set_key", "n_shingles").join(candidates, "node"),
+        nodes.select(
+            "node", F.col("one.doc_id").alias("doc_id"), F.col("one.text_key").alias("text_key"),
+            "set_key", "n_shingles",
+        ).join(candidates, "node"),
         "candidates",
     )
     # Only texts of candidates travel, however many candidates there are.
     texts = maybe_in(
-        documents.select(F.col("doc_id").alias("__id"), "text"),
-        members.select(F.col("doc_id").alias("__id")), ["__id"], "__candidate",
+        documents.select(F.col("doc_id").alias("__id"), text_key.alias("__key"), "text"),
+        members.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")),
+        ["__id", "__key"], "__candidate",
     ).filter("__candidate").drop("__candidate")
     dealt = in_blocks(
         members, "component", "n_shingles", block_shingles
-    ).join(texts, F.col("doc_id").eqNullSafe(F.col("__id")))
+    ).join(texts, (F.col("text_key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")))
     links = materialize(
         dealt.select("component", "left", "right", "node", "set_key", "text")
         .groupBy("component", "left", "right")
@@ -442,7 +449,7 @@ def near_duplicates(
     by_set = nodes.select("set_key", F.col("doc_id").alias("same_id")).join(
         linked, "set_key", "left"
     )
-    return described.drop("signature").join(
+    return described.drop("signature", "text_key").join(
         by_set, "set_key", "left"
     ).select(
         "doc_id", "n_shingles", "set_key",
