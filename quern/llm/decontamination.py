@@ -257,6 +257,7 @@ def _search(index: Index, threshold: float, overlap: float):
                         ],
                         schema=_LEAKS,
                     )
+            W.give_back()
 
     return run
 

@@ -189,6 +189,7 @@ def _identify(model: Model, penalty: float):
                 [*(batch.column(n) for n in kept), pa.array(names, pa.string()), pa.array(scores)],
                 names=[*kept, "lang_pred", "score"],
             )
+            W.give_back()
 
     return run
 

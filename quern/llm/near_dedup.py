@@ -119,6 +119,7 @@ def _describe(width: int, coordinates: int):
                     ],
                     names=["doc_id", "text_key", "n_shingles", "set_key", "signature"],
                 )
+            W.give_back()
 
     return run
 
