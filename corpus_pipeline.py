@@ -32,14 +32,21 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each near-duplicate class."""
+    """Keep one document with the smallest doc_id of each near-duplicate class."""
     ship(spark)
     classes = near_dedup.near_duplicates(docs, width=5, percent=80)
+    least = F.col("doc_id").eqNullSafe(F.col("component_id")) & (
+        F.col("text_key") == F.col("component_key")
+    )
     stays = (
-        classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+        classes.filter(least)
+        .groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    # A NULL or repeated doc_id does not tell rows apart, so the text has to match too.
+    kept = docs.join(
+        stays, (F.xxhash64("text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
     )
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("__id")))
     once = kept.filter("__n = 1").select(*docs.columns)
     repeated = kept.filter("__n > 1").select(*docs.columns)
     return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))

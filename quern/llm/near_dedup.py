@@ -347,10 +347,13 @@ def near_duplicates(
     block_members: int = 8192,
     block_shingles: int = 3_000_000,
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``set_key`` and ``component_id`` of every document.
+    """``doc_id``, ``text_key``, ``n_shingles``, ``set_key``, ``component_id`` and
+    ``component_key`` of every document.
 
     Documents are linked when 100 * |A & B| >= percent * |A | B| on their shingle
-    sets; ``component_id`` is the smallest doc_id reachable over links.
+    sets; ``component_id`` is the smallest doc_id reachable over links, and
+    ``component_key`` the smallest ``text_key`` (a hash of the text) of its rows, so
+    both name one document of each class even where doc_ids are NULL or repeated.
     """
     spark = documents.sparkSession
     least = least_matches(coordinates, percent, miss)
@@ -367,7 +370,6 @@ def near_duplicates(
         described.filter("n_shingles > 0")
         .groupBy("set_key")
         .agg(
-            F.min("doc_id").alias("doc_id"),
             F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
@@ -444,15 +446,15 @@ def near_duplicates(
         "links",
     )
     classes = components(links)
-    labelled = nodes.select("node", "set_key", "doc_id").join(classes, "node")
-    smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("linked_id"))
-    linked = labelled.join(smallest, "component").select("set_key", "linked_id")
-    by_set = nodes.select("set_key", F.col("doc_id").alias("same_id")).join(
+    labelled = nodes.select("node", "set_key", "one").join(classes, "node")
+    smallest = labelled.groupBy("component").agg(F.min("one").alias("linked"))
+    linked = labelled.join(smallest, "component").select("set_key", "linked")
+    by_set = nodes.select("set_key", F.col("one").alias("same")).join(
         linked, "set_key", "left"
-    )
-    return described.drop("signature", "text_key").join(
-        by_set, "set_key", "left"
-    ).select(
-        "doc_id", "n_shingles", "set_key",
-        F.coalesce("linked_id", "same_id", "doc_id").alias("component_id"),
+    ).select("set_key", F.coalesce("linked", "same").alias("least"))
+    alone = F.col("least").isNull()  # no shingles
+    return described.drop("signature").join(by_set, "set_key", "left").select(
+        "doc_id", "text_key", "n_shingles", "set_key",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+        F.when(alone, F.col("text_key")).otherwise(F.col("least.text_key")).alias("component_key"),
     )

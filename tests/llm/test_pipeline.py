@@ -52,6 +52,20 @@ def test_one_document_of_each_class_stays(stages):
     assert max(Counter(texts(after)).values(), default=1) == 1
 
 
+def test_near_dedup_tells_rows_without_own_id_apart(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    rows = [
+        (None, "a row without an id"), (None, "another row without an id"), (None, one), (10, one),
+        (10, one), (None, one + " end"), (2, two), (5, two), (5, "text of its own"),
+        (None, three), (None, three + " end"), (None, three), (8, None), (8, ""), (None, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter(texts(corpus_pipeline.drop_near_duplicates(spark, docs, "")))
+    either = [(None, three), (None, three + " end")]
+    assert sum(found.pop(x, 0) for x in either) == 1
+    assert found == Counter([*rows[:2], (10, one), (2, two), (5, "text of its own"), *rows[-3:]])
+
+
 def test_no_test_item_stays(stages):
     folder, out = stages
     before, after = out[2]
