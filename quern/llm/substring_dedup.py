@@ -12,6 +12,12 @@ of the others are decided on the spot.  This happens in every slice of a task an
 again while a bucket is read, so a passage in a third of all documents reaches its
 bucket once per slice and takes the space of one string there.
 
+Strings at the edges of a shared passage hold neighbouring words of their document, so
+they differ, and a frequent minimiser would fill one bucket.  Buckets that a sample of
+the documents puts above ``bound`` bytes are dealt window by window instead, by a hash
+of all words of the window: then only equal windows meet.  The sample picks the way,
+never the result.
+
 Defined results: NULL text has no words; a NULL doc_id counts as larger than all
 others; rows that repeat a doc_id do not remove each other's words; columns besides
 ``doc_id`` and ``text`` are not read; an empty table gives an empty result.
@@ -34,6 +40,8 @@ from quern.session import materialize
 
 SLICE = 3 << 20
 BUCKET = 8 << 20
+#: One document in so many is read to find the buckets that are dealt by window.
+SAMPLE = 16
 CHUNK = 1 << 19
 LEVEL = 3
 _LAST = np.iinfo(np.int64).max
@@ -167,7 +175,56 @@ def _rows(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _deal(window: int, gram: int, buckets: int):
+def _by_window(found: Strings, window: int) -> tuple[Strings, np.ndarray]:
+    """One string for each window of the strings, and a hash of all its words."""
+    words = W.split_bytes(found.data, found.bounds)
+    counts = words.counts - window + 1
+    string = np.repeat(np.arange(len(counts)), counts)
+    starts = ragged(words.first[:-1], counts)
+    a, sizes = words.starts[starts], words.ends[starts + window - 1] - words.starts[starts]
+    single = Strings(
+        found.doc[string], found.key[string], found.pos[string] + starts - words.first[string],
+        sizes, gather(words.data, a, sizes),
+    )
+    return single, W.mix(W.running(words.hashes(), starts, starts + window))
+
+
+def _weigh(window: int, gram: int, buckets: int):
+    """Bytes that the strings of each batch bring to each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = W.text_column(batch, "text")
+            doc, key = batch.column("doc").to_numpy(), batch.column("key").to_numpy()
+            for at, part in W.slices(texts, SLICE):
+                end = at + len(part)
+                made = _super_kmers(W.split(part), doc[at:end], key[at:end], window, gram)
+                if made is None:
+                    continue
+                found, _, least = made
+                codes, n = found.codes()
+                rows = np.flatnonzero(found.doc == least_of(found.doc, codes, n)[codes])
+                bucket, place = np.unique(least[rows] % np.uint64(buckets), return_inverse=True)
+                size = np.bincount(place, weights=found.sizes[rows]).astype(np.int64)
+                yield _rows(["bucket", "size"], bucket.astype(np.int64), size)
+                W.give_back()
+
+    return run
+
+
+def overfull(
+    documents: DataFrame, window: int, gram: int, buckets: int, bound: int, sample: int = SAMPLE
+) -> list[int]:
+    """Buckets whose strings take more than about ``bound`` bytes."""
+    some = keyed(documents).filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0)
+    sizes = some.mapInArrow(_weigh(window, gram, buckets), "bucket long, size long")
+    large = sizes.groupBy("bucket").agg(F.sum("size").alias("n")).filter(F.col("n") > bound // sample)
+    return [r.bucket for r in large.select("bucket").collect()]
+
+
+def _deal(window: int, gram: int, buckets: int, split: list[int]):
+    split = np.array(split, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.text_column(batch, "text")
@@ -183,20 +240,34 @@ def _deal(window: int, gram: int, buckets: int):
                 gone = np.flatnonzero(~stays)
                 rows = np.flatnonzero(stays)
                 bucket = (least[rows] % np.uint64(buckets)).astype(np.int64)
-                rows = rows[np.argsort(bucket, kind="stable")]
-                bucket = np.sort(bucket)
+                decided = [(found.doc[gone], found.key[gone], found.pos[gone], spans[gone])]
+                kept = found.take(rows)
+                whole = ~np.isin(bucket, split)
+                if not whole.all():
+                    single, h = _by_window(kept.take(np.flatnonzero(~whole)), window)
+                    codes, n = single.codes()
+                    stays = single.doc == least_of(single.doc, codes, n)[codes]
+                    gone, rows = np.flatnonzero(~stays), np.flatnonzero(stays)
+                    decided.append((
+                        single.doc[gone], single.key[gone], single.pos[gone],
+                        np.full(len(gone), window),
+                    ))
+                    kept = Strings.joined([kept.take(np.flatnonzero(whole)), single.take(rows)])
+                    bucket = np.r_[bucket[whole], (h[rows] % np.uint64(buckets)).astype(np.int64)]
+                order = np.argsort(bucket, kind="stable")
+                bucket = bucket[order]
                 cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-                out = [found.take(rows[a:b]).pack() for a, b in zip(cuts[:-1], cuts[1:])]
+                out = [kept.take(order[a:b]).pack() for a, b in zip(cuts[:-1], cuts[1:])]
                 names = ["bucket", "decided", "packed"]
                 yield _rows(names, bucket[cuts[:-1]], np.zeros(len(out), bool), out)
-                if len(gone):
-                    # What is decided here rides along to the bucket of any string.
-                    reply = Strings(
-                        found.doc[gone], found.key[gone], found.pos[gone], spans[gone],
-                        np.zeros(0, np.uint8),
-                    )
-                    yield _rows(names, bucket[:1], np.ones(1, bool), [reply.pack()])
-                del made, found, out
+                gone = [np.concatenate(column) for column in zip(*decided)]
+                if len(gone[0]):
+                    # What is decided here rides along to the bucket of any string; which
+                    # one differs between slices, so that no bucket gets them all.
+                    any_of = int(found.doc[0] % len(bucket))
+                    reply = Strings(*gone, np.zeros(0, np.uint8))
+                    yield _rows(names, bucket[any_of : any_of + 1], np.ones(1, bool), [reply.pack()])
+                del made, found, kept, out
                 W.give_back()
 
     return run
@@ -346,8 +417,19 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def dealt(
+    documents: DataFrame, window: int, gram: int, buckets: int, bound: int, sample: int = SAMPLE
+) -> DataFrame:
+    """Packed strings of all documents and the bucket of each pack."""
+    split = overfull(documents, window, gram, buckets, bound, sample)
+    return keyed(documents).mapInArrow(
+        _deal(window, gram, buckets, split), "bucket long, decided boolean, packed binary"
+    )
+
+
 def repeated_spans(
-    documents: DataFrame, window: int = 13, gram: int = 3, buckets: int | None = None
+    documents: DataFrame, window: int = 13, gram: int = 3, buckets: int | None = None,
+    bound: int = 4 * BUCKET, sample: int = SAMPLE,
 ) -> DataFrame:
     """``doc``, ``key`` and the word span [start, end) of every repeated passage.
 
@@ -359,11 +441,9 @@ def repeated_spans(
     if buckets is None:
         size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(tasks, 4 * size // BUCKET)
-    dealt = keyed(documents).mapInArrow(
-        _deal(window, gram, buckets), "bucket long, decided boolean, packed binary"
-    )
     return (
-        dealt.repartition(max(tasks, min(buckets, 20_000)), "bucket")
+        dealt(documents, window, gram, buckets, bound, sample)
+        .repartition(max(tasks, min(buckets, 20_000)), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_count(window), "doc long, key long, start long, end long")
     )

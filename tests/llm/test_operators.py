@@ -108,6 +108,29 @@ def test_repeated_windows_of_shared_passages(spark, monkeypatch):
     assert got == cases.without_repeats([{"doc_id": i, "text": t} for i, t in rows])
 
 
+def test_buckets_of_frequent_minimisers_are_dealt_by_window(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    rows = []
+    for i in range(1200):
+        before, after = ([f"o{rng.randrange(10**9)}" for _ in range(25)] for _ in range(2))
+        rows.append((i, " ".join(before + passage * (i % 3 == 0) + after)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    limit, packs = 1 << 13, {}
+    for bound in (1 << 40, limit):
+        size = Counter()
+        for r in substring_dedup.dealt(docs, 13, 3, 1024, bound, sample=1).filter("not decided").collect():
+            size[r.bucket] += len(substring_dedup.Strings.unpack(r.packed).data)
+        packs[bound] = max(size.values())
+    assert packs[1 << 40] > 3 * limit > packs[limit]
+    spans = substring_dedup.repeated_spans(docs, 13, 3, 1024, limit, sample=1).collect()
+    gone = defaultdict(set)
+    for r in spans:
+        gone[r.doc].update(range(r.start, r.end))
+    expected = {i: n for i, _, n, _ in cases.without_repeats([{"doc_id": i, "text": t} for i, t in rows]) if n}
+    assert len(expected) == 399 and {i: len(x) for i, x in gone.items()} == expected
+
+
 def test_windows_under_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(W, "mix", lambda h: h * np.uint64(0))
     texts = pa.array(["a b c", "a b d", "a b c"], pa.large_string())
