@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.chat import chat_examples, read_back
+from quern.llm.clustering import cluster_vectors, inertia_report
 from quern.llm.decontamination import find_leaks
 from quern.llm.exact_dedup import exact_groups
 from quern.llm.language_id import Model, identify, is_held_out
@@ -238,3 +239,46 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = Model.learn(documents.filter(~is_held_out()))
     found = identify(documents.select("doc_id", is_held_out().alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+_NEAREST_SQL = """
+n{i} AS (
+    SELECT id, c, d FROM (
+        SELECT v.id, k.c, sum((v.x - k.x) * (v.x - k.x))::BIGINT AS d,
+            row_number() OVER (PARTITION BY v.id ORDER BY sum((v.x - k.x) * (v.x - k.x)), k.c) AS r
+        FROM v JOIN c{i} k ON k.p = v.p GROUP BY v.id, k.c
+    ) WHERE r = 1
+)"""
+_MOVE_SQL = """
+c{j} AS (
+    SELECT k.c, k.p, coalesce(m.x, k.x) AS x FROM c{i} k LEFT JOIN (
+        SELECT n.c, v.p, CASE WHEN sum(v.x) < 0 THEN -((count(*) - 1 - sum(v.x)) // count(*))
+            ELSE sum(v.x) // count(*) END::BIGINT AS x
+        FROM n{i} n JOIN v ON v.id = n.id GROUP BY n.c, v.p
+    ) m ON m.c = k.c AND m.p = k.p
+)"""
+OP11_SQL = f"""
+WITH e AS (
+    SELECT row_number() OVER () AS id, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = 64
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), v AS (
+    SELECT id, p, floor(64 * embedding[p]::DOUBLE)::BIGINT AS x
+    FROM (SELECT id, embedding, unnest(range(1, 65)) AS p FROM e)
+), s AS (
+    SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id), embedding) - 1 AS c FROM e
+), c0 AS (SELECT s.c, v.p, v.x FROM s JOIN v ON v.id = s.id WHERE s.c < 16),
+{",".join(_NEAREST_SQL.format(i=i) + "," + _MOVE_SQL.format(i=i, j=i + 1) for i in range(3))},
+{_NEAREST_SQL.format(i=3)},
+h AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS centroid_sha256 FROM c3 GROUP BY c)
+SELECT e.vec_id, n3.c::INTEGER AS cluster, n3.d AS distance,
+    sum(n3.d) OVER (PARTITION BY n3.c)::BIGINT AS cluster_inertia,
+    sum(n3.d) OVER ()::BIGINT AS inertia, h.centroid_sha256
+FROM n3 JOIN e ON e.id = n3.id JOIN h ON h.c = n3.c
+"""
+
+
+@query("op11_drift_tightened_clusters", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All whole vectors in 16 clusters, after three moves of the centroids."""
+    return inertia_report(cluster_vectors(table(spark, sf_dir, "embeddings")))
