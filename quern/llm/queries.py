@@ -12,6 +12,7 @@ from quern.llm.clustering import cluster_vectors, inertia_report
 from quern.llm.decontamination import find_leaks
 from quern.llm.exact_dedup import exact_groups
 from quern.llm.language_id import Model, identify, is_held_out
+from quern.llm.lexical_search import build_index, search
 from quern.llm.mixing import alternating, mix, taken_pieces
 from quern.llm.near_dedup import near_duplicates
 from quern.llm.sharding import place
@@ -282,3 +283,42 @@ FROM n3 JOIN e ON e.id = n3.id JOIN h ON h.c = n3.c
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All whole vectors in 16 clusters, after three moves of the centroids."""
     return inertia_report(cluster_vectors(table(spark, sf_dir, "embeddings")))
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12_SQL = f"""
+WITH t AS (
+    SELECT id, doc_id, unnest(terms) AS term FROM (
+        SELECT row_number() OVER () AS id, doc_id, {_TERMS.format("text")} AS terms FROM documents
+    )
+), p AS (SELECT id, doc_id, term, count(*) AS tf FROM t GROUP BY id, doc_id, term),
+n AS (SELECT id, sum(tf)::BIGINT AS n FROM p GROUP BY id),
+s AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM n),
+w AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM p, s GROUP BY term, n_docs
+), q AS (
+    SELECT item_id, text, term, count(*) AS times FROM (
+        SELECT item_id, text, unnest({_TERMS.format("text")}) AS term
+        FROM (SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark)
+    ) GROUP BY item_id, text, term
+), a AS (
+    SELECT q.item_id, q.text, p.doc_id, p.id,
+        sum(q.times * w.w * ((1000000000 * p.tf)
+            // (1000 * p.tf + 12 * (75 + (25 * n.n * s.n_docs) // s.n_terms))))::BIGINT AS score
+    FROM q JOIN w ON w.term = q.term JOIN p ON p.term = q.term JOIN n ON n.id = p.id, s
+    GROUP BY q.item_id, q.text, p.doc_id, p.id
+), r AS (
+    SELECT item_id, doc_id, score, row_number() OVER (
+        PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM a WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op12_hybrid_ranked_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of all for every test item."""
+    index = build_index(table(spark, sf_dir, "documents"))
+    return search(index, table(spark, sf_dir, "benchmark"))
