@@ -18,6 +18,7 @@ from quern.llm.near_dedup import near_duplicates
 from quern.llm.sharding import place
 from quern.llm.shipping import ship
 from quern.llm.substring_dedup import without_repeats
+from quern.llm.suffix_dedup import without_repeated_bytes
 from quern.llm.token_counts import section_tokens
 from quern.llm.token_files import read_token_files, write_token_files
 
@@ -322,3 +323,42 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of all for every test item."""
     index = build_index(table(spark, sf_dir, "documents"))
     return search(index, table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+x AS (
+    SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS g
+    FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)
+), f AS (
+    SELECT doc_id, i FROM (
+        SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM x
+    ) WHERE r > 1
+), m AS (
+    SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM f
+), n AS (
+    SELECT doc_id, i, sum(CASE WHEN b IS NULL OR i > b + 100 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id ORDER BY i) AS run FROM m
+), r AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM n GROUP BY doc_id, run),
+l AS (
+    SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS o,
+        lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS nxt FROM r
+), k AS (
+    SELECT l.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+        string_agg(substr(h, 2 * o + 1, 2 * (a - o))
+            || CASE WHEN nxt IS NULL THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept
+    FROM l JOIN d ON d.doc_id = l.doc_id GROUP BY l.doc_id
+)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+    coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
+
+
+@query("op13_previous_factor_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 100-byte strings that also start earlier."""
+    kept = without_repeated_bytes(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
