@@ -60,7 +60,7 @@ class Strings:
         """Compressed; documents are stored by differences, as most are in order."""
         steps = np.diff(self.doc.view(np.uint64), prepend=np.uint64(0))
         parts = [
-            np.array([len(self.doc)], np.int64), steps, self.key.astype(np.uint32),
+            np.array([len(self.doc)], np.int64), steps, self.key,
             self.pos.astype(np.uint32), self.sizes.astype(np.uint32), self.data,
         ]
         raw = b"".join(np.ascontiguousarray(p).tobytes() for p in parts)
@@ -71,8 +71,9 @@ class Strings:
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         doc = np.cumsum(np.frombuffer(raw, np.uint64, n, 8)).view(np.int64)
-        key, pos, sizes = np.frombuffer(raw, np.uint32, 3 * n, 8 + 8 * n).reshape(3, n).astype(np.int64)
-        return Strings(doc, key, pos, sizes, np.frombuffer(raw, np.uint8, offset=8 + 20 * n))
+        key = np.frombuffer(raw, np.int64, n, 8 + 8 * n)
+        pos, sizes = np.frombuffer(raw, np.uint32, 2 * n, 8 + 16 * n).reshape(2, n).astype(np.int64)
+        return Strings(doc, key, pos, sizes, np.frombuffer(raw, np.uint8, offset=8 + 24 * n))
 
     @staticmethod
     def joined(parts: list[Strings]) -> Strings:
@@ -433,7 +434,7 @@ def repeated_spans(
 ) -> DataFrame:
     """``doc``, ``key`` and the word span [start, end) of every repeated passage.
 
-    ``key`` is a hash of the text, which tells rows with one doc_id apart.  Spans of
+    ``key`` is a 64-bit hash of the text, which tells rows with one doc_id apart.  Spans of
     one document may overlap.
     """
     spark = documents.sparkSession
@@ -453,7 +454,7 @@ def keyed(documents: DataFrame) -> DataFrame:
     return documents.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(_LAST)).alias("doc"),
-        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("key"),
+        F.xxhash64("text").alias("key"),
         "text",
     )
 
