@@ -71,24 +71,38 @@ def selectivity(df: DataFrame, column: str, approximate: bool = False) -> DataFr
 def prefix_density(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One over the number of distinct rows of (c1), (c1, c2), …
 
-    The distinct full key is found once; the shorter prefixes are counted on
-    that much smaller set.  NULL counts as a value, as in a DISTINCT query.
+    All prefixes are found in one aggregation: each row stands for its prefixes, which
+    are combined map-side, so a task sends every prefix once, and the keys are shuffled
+    once however many columns there are.  NULL counts as a value, as in a DISTINCT
+    query; of no rows there is no density.
     """
-    keys = df.select(*columns).distinct()
-    parts = []
-    for length in range(1, len(columns) + 1):
-        prefix = list(columns[:length])
-        parts.append(
-            keys.select(*prefix)
-            .distinct()
-            .agg(F.count(F.lit(1)).alias("distinct_values"))
-            .select(
-                F.lit(", ".join(prefix)).alias("key_columns"),
-                "distinct_values",
-                ratio(F.lit(1), F.col("distinct_values")).alias("density"),
+    size = len(columns)
+    names = [f"__c{i}" for i in range(size)]
+    groups = (
+        df.select(*[F.col(c).alias(n) for c, n in zip(columns, names)])
+        .rollup(*names)
+        .agg(F.grouping_id().alias("__rolled"))
+    )
+    counts = groups.agg(
+        *[
+            F.count_if(F.col("__rolled") == (1 << (size - length)) - 1).alias(f"__n{length}")
+            for length in range(1, size + 1)
+        ]
+    )
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(", ".join(columns[:length])).alias("key_columns"),
+                F.col(f"__n{length}").alias("distinct_values"),
             )
-        )
-    return reduce(DataFrame.unionByName, parts)
+            for length in range(1, size + 1)
+        ]
+    )
+    return counts.select(F.inline(rows)).select(
+        "key_columns",
+        "distinct_values",
+        ratio(F.lit(1), F.nullif("distinct_values", F.lit(0))).alias("density"),
+    )
 
 
 def predicate_share(df: DataFrame, first: Column, second: Column) -> DataFrame:

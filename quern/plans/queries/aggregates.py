@@ -197,6 +197,23 @@ def density_pair(spark: SparkSession, t: Tables) -> DataFrame:
     return prefix_density(t.orders, ["o_orderstatus", "o_orderpriority"])
 
 
+_FOUR = ["l_returnflag", "l_linenumber", "l_quantity", "l_suppkey"]
+
+
+@query(
+    " UNION ALL ".join(
+        f"""
+        SELECT '{', '.join(_FOUR[:n])}' AS key_columns, count(*) AS distinct_values,
+               CAST(1.0::DOUBLE / count(*) AS DECIMAL(18,8)) AS density
+        FROM (SELECT DISTINCT {', '.join(_FOUR[:n])} FROM lineitem)
+        """
+        for n in range(1, 5)
+    )
+)
+def density_four(spark: SparkSession, t: Tables) -> DataFrame:
+    return prefix_density(t.lineitem, _FOUR)
+
+
 _VIEW_KEYS = ["l_partkey"]
 
 

@@ -11,6 +11,8 @@ from quern.operators.aggregates import (
     predicate_share as shares,
     value_histogram,
 )
+from quern.operators.histograms import step_histogram as steps_of
+from quern.operators.sketches import DISTINCT_ERROR, RANK_ERROR, SketchStore
 from quern.plans.registry import query
 from quern.session import materialize, shared_folder
 from quern.sources.tables import Tables
@@ -154,3 +156,93 @@ def layout_report(spark: SparkSession, t: Tables) -> DataFrame:
     return after.join(before, F.col("l_returnflag").eqNullSafe(F.col("flag"))).select(
         "l_returnflag", "n_rows", "first_action", F.col("action").alias("second_action")
     )
+
+
+def _steps_sql(column: str, source: str, steps: int) -> str:
+    return f"""
+    WITH c AS (SELECT {column} AS v, count(*) AS n FROM {source} GROUP BY 1),
+    k AS (SELECT v, n, sum(n) OVER (ORDER BY v) AS upto, sum(n) OVER () AS total
+          FROM c WHERE v IS NOT NULL),
+    b AS (SELECT v, n, (upto - 1) * {steps} // total AS part, n * {steps} >= total AS own FROM k),
+    g AS (SELECT *, NOT own AND coalesce(v > max(CASE WHEN own THEN v END)
+                 OVER (PARTITION BY part), false) AS after FROM b),
+    s AS (SELECT max(v) AS range_hi_key, arg_max(n, v) AS equal_rows, sum(n) AS n_rows,
+                 count(*) - 1 AS distinct_range_rows FROM g GROUP BY part, after
+          UNION ALL SELECT v, n, n, 0 FROM c WHERE v IS NULL)
+    SELECT CAST(row_number() OVER (ORDER BY range_hi_key NULLS FIRST) AS INTEGER) AS step,
+           range_hi_key, equal_rows, CAST(n_rows - equal_rows AS BIGINT) AS range_rows,
+           distinct_range_rows,
+           CAST((n_rows - equal_rows)::DOUBLE / nullif(distinct_range_rows, 0) AS DECIMAL(18,8))
+               AS avg_range_rows
+    FROM s
+    """
+
+
+@query(_steps_sql("l_partkey", "lineitem", 200))
+def step_histogram(spark: SparkSession, t: Tables) -> DataFrame:
+    return steps_of(t.lineitem, "l_partkey")
+
+
+@query(_steps_sql("o_orderpriority", "orders", 3))
+def step_histogram_text(spark: SparkSession, t: Tables) -> DataFrame:
+    """Few values: each has more rows than a third of an even part, or shares a step."""
+    return steps_of(t.orders, "o_orderpriority", 3)
+
+
+_SKETCHED = ("l_partkey", "l_extendedprice", "l_returnflag")
+
+
+@query(
+    " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+               count(DISTINCT {c}) AS distinct_values, true AS distinct_within, true AS median_within
+        FROM lineitem
+        """
+        for c in _SKETCHED
+    )
+)
+def sketch_profile(spark: SparkSession, t: Tables) -> DataFrame:
+    """States of four batches of lines, united, and held against exact counts.
+
+    The estimates have to lie within four standard errors, and the median's true ranks
+    within the rank error.
+    """
+    store = SketchStore(spark, shared_folder(spark, "sketches"), _SKETCHED)
+    lines = t.lineitem.select("l_orderkey", *_SKETCHED)
+    for batch in range(4):
+        part = F.coalesce(F.pmod("l_orderkey", F.lit(4)), F.lit(0)) == batch
+        store.add(lines.filter(part), batch)
+    report = materialize(store.report([0.5]), "sketch-report")
+    checks = []
+    for name in _SKETCHED:
+        of_column = report.filter(F.col("column_name") == name)
+        median = of_column.select(F.get("quantiles", F.lit(0))).scalar()
+        counted = lines.groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        known = F.col("v").isNotNull()
+        numeric = name != "l_returnflag"
+        below = F.sum(F.when(F.col("v") < F.col("m"), F.col("n")).otherwise(0)) if numeric else F.lit(0)
+        upto = F.sum(F.when(F.col("v") <= F.col("m"), F.col("n")).otherwise(0)) if numeric else F.lit(0)
+        checks.append(
+            counted.withColumn("m", median).agg(
+                F.lit(name).alias("name"),
+                F.count_if(known).alias("distinct_values"),
+                F.sum(F.when(known, F.col("n")).otherwise(0)).alias("known"),
+                below.cast("bigint").alias("below"),
+                upto.cast("bigint").alias("upto"),
+                F.lit(numeric).alias("numeric"),
+            )
+        )
+    exact = checks[0].unionByName(checks[1]).unionByName(checks[2])
+    error = F.abs(F.col("distinct_estimate") - F.col("distinct_values"))
+    low, high = F.col("known") * (0.5 - RANK_ERROR), F.col("known") * (0.5 + RANK_ERROR)
+    return report.join(exact, F.col("column_name") == F.col("name")).select(
+        "column_name",
+        "n_rows",
+        "n_nulls",
+        "distinct_values",
+        (error <= F.col("distinct_values") * (4 * DISTINCT_ERROR) + 1).alias("distinct_within"),
+        (~F.col("numeric") | ((F.col("below") <= high) & (F.col("upto") >= low))).alias(
+            "median_within"
+        ),
+    )

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.numeric import cents_to_amount
 from quern.plans import reports as report
 from quern.plans.registry import query
 from quern.session import shared_folder
@@ -184,3 +185,51 @@ def store_contact(spark: SparkSession, t: Tables) -> DataFrame:
 )
 def total_loss(spark: SparkSession, t: Tables) -> DataFrame:
     return report.total_loss(t, F.col("l_returnflag") == "R")
+
+
+_RUNNING_SQL = """
+    SELECT *, CAST(sum(loss_cents) OVER w AS BIGINT) AS known,
+           count(*) FILTER (loss_cents IS NULL) OVER w AS unknown
+    FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+                 CAST(l_quantity AS BIGINT) * CAST(round(p_retailprice * 100) AS BIGINT)
+                     AS loss_cents
+          FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R')
+    WINDOW w AS (ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST,
+                 l_partkey NULLS FIRST, loss_cents NULLS FIRST ROWS UNBOUNDED PRECEDING)
+"""
+
+
+def _amounts(df: DataFrame) -> DataFrame:
+    names = {"loss": "loss_cents", "running_total": "running_cents", "loop_total": "loop_cents"}
+    return df.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        *[cents_to_amount(F.col(c)).alias(n) for n, c in names.items()],
+    )
+
+
+@query(
+    f"""
+    SELECT l_orderkey, l_linenumber, l_partkey,
+           CAST(loss_cents / 100.0 AS DECIMAL(28,2)) AS loss,
+           CAST(coalesce(known, 0) / 100.0 AS DECIMAL(28,2)) AS running_total,
+           CASE WHEN unknown = 0 THEN CAST(known / 100.0 AS DECIMAL(28,2)) END AS loop_total
+    FROM ({_RUNNING_SQL})
+    """
+)
+def running_loss(spark: SparkSession, t: Tables) -> DataFrame:
+    return _amounts(report.running_loss(t, F.col("l_returnflag") == "R"))
+
+
+@query(
+    f"""
+    SELECT l_orderkey, l_linenumber, l_partkey,
+           CAST(loss_cents / 100.0 AS DECIMAL(28,2)) AS loss,
+           CAST(coalesce(known, 0) / 100.0 AS DECIMAL(28,2)) AS running_total,
+           CAST(known / 100.0 AS DECIMAL(28,2)) AS loop_total
+    FROM ({_RUNNING_SQL}) WHERE unknown = 0 AND known > 500000
+    ORDER BY l_orderkey NULLS FIRST, l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+             loss_cents NULLS FIRST, known LIMIT 1
+    """
+)
+def loss_stop(spark: SparkSession, t: Tables) -> DataFrame:
+    return _amounts(report.loss_stop(t, F.col("l_returnflag") == "R"))

@@ -14,6 +14,7 @@ from quern.functions.numeric import cents, cents_to_amount
 from quern.operators.aggregates import rollup_then_lookup
 from quern.operators.filters import optional_equals
 from quern.operators.joins import latest_per_key
+from quern.operators.prefix_sums import first_above, running_total
 from quern.operators.ranking import number_within
 from quern.sources.tables import Tables
 
@@ -224,3 +225,37 @@ def total_loss(t: Tables, lost: Column) -> DataFrame:
         .otherwise(LOSS_BELOW)
         .alias("status"),
     )
+
+
+#: A total order of the lines of :func:`running_loss`; lines equal in it are copies.
+LOSS_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "loss_cents")
+
+
+def running_loss(t: Tables, lost: Column) -> DataFrame:
+    """Lost lines in order, each with the loss so far.
+
+    ``running_total`` leaves out lines without a known loss.  ``loop_total`` is what a
+    loop has that adds each loss to a variable: after an unknown one it stays NULL.
+    """
+    prices = t.part.select("p_partkey", cents(F.col("p_retailprice")).alias("price"))
+    losses = (
+        t.lineitem.filter(lost)
+        .join(prices, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            (F.col("l_quantity").cast("bigint") * F.col("price")).alias("loss_cents"),
+        )
+    )
+    order = [F.col(c).asc_nulls_first() for c in LOSS_ORDER]
+    return running_total(
+        losses, order, F.col("loss_cents"), "running_cents", "loop_cents", unique=False
+    )
+
+
+def loss_stop(t: Tables, lost: Column) -> DataFrame:
+    """The line at which the loop's total first passes the limit."""
+    order = [F.col(c).asc_nulls_first() for c in LOSS_ORDER]
+    limit = F.lit(LOSS_LIMIT * 100)
+    return first_above(running_loss(t, lost), [*order, "loop_cents"], "loop_cents", limit)
