@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -116,39 +117,63 @@ def layout_report(
     )
 
 
-def compact(
-    df: DataFrame, path: str, partition: str, target_bytes: int = TARGET_BYTES
-) -> list:
-    """Rewrite the listed partitions of a table in files of about the target size.
+def target_pieces(
+    df: DataFrame, partition: str, listed: list, schema, target_bytes: int
+) -> DataFrame:
+    """The rows of the listed partitions, dealt so that each has files of target size.
 
-    Other partitions are not read.  A partition is cut into as many pieces as it
-    needs files, by the place of a row in its old file: pieces are even whatever
-    the rows hold, and a task that runs again gets the same rows.  Returns the
-    partition values that were rewritten, at most one per directory.
+    ``listed`` has a partition value and its bytes per row.  A partition is cut into as
+    many pieces as it needs files, by the place of a row in its old file: pieces are even
+    whatever the rows hold, and a task that runs again gets the same rows.
     """
     files = F.greatest(F.ceil(F.col("total_bytes") / target_bytes), F.lit(1))
-    report = layout_report(df, partition, target_bytes).filter(F.col("action") != "keep")
-    todo = report.select(F.col(partition).alias("__value"), files.alias("__files"))
-    listed = todo.collect()
-    values = [row["__value"] for row in listed]
-    if not values:
-        return []
+    todo = df.sparkSession.createDataFrame(listed, schema).select(
+        F.col(partition).alias("__value"), files.alias("__files")
+    )
+    values = [row[partition] for row in listed]
     key = F.col(partition)
     wanted = key.isin([v for v in values if v is not None])
     if None in values:
         wanted = wanted | key.isNull()
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     pieces = df.filter(wanted).select("*", place.alias("__place")).join(
-        df.sparkSession.createDataFrame(listed, todo.schema),
-        key.eqNullSafe(F.col("__value")),
+        todo, key.eqNullSafe(F.col("__value"))
     )
-    (
+    needed = sum(max(1, -(-row["total_bytes"] // target_bytes)) for row in listed)
+    return (
         pieces.withColumn("__piece", F.pmod("__place", "__files"))
-        .repartition(sum(row["__files"] for row in listed), partition, "__piece")
+        .repartition(int(needed), partition, "__piece")
         .select(*df.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
     )
-    return values
+
+
+def compact(
+    df: DataFrame, path: str, partition: str, target_bytes: int = TARGET_BYTES
+) -> list:
+    """Rewrite the listed partitions of a table in files of about the target size.
+
+    Other partitions are not read.  The new files are written next to the table and
+    only then take the place of the old ones, so a rewrite that dies leaves the table
+    as it was; ``VersionedTable.compact`` also keeps the old files for open readers.
+    Returns the partition values that were rewritten, at most one per directory.
+    """
+    report = layout_report(df, partition, target_bytes).filter(F.col("action") != "keep")
+    todo = report.select(partition, "total_bytes")
+    listed = todo.collect()
+    if not listed:
+        return []
+    spark, fresh = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    target_pieces(df, partition, listed, todo.schema, target_bytes).write.partitionBy(
+        partition
+    ).parquet(fresh)
+    # The files exist in full now; moving the folders reads and writes no row.
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(fs_path(fresh)):
+        name = status.getPath().getName()
+        if "=" in name:
+            old = fs_path(f"{path}/{name}")
+            fs.delete(old, True)
+            fs.rename(status.getPath(), old)
+    fs.delete(fs_path(fresh), True)
+    return [row[partition] for row in listed]

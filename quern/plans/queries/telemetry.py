@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions import statements
 from quern.functions.numeric import cents, sum_amount
+from quern.functions.xml import escape, event_xml
 from quern.operators.filters import text_prefix, text_suffix
 from quern.plans import telemetry
 from quern.plans.registry import query
@@ -14,7 +16,9 @@ from quern.session import shared_folder
 from quern.sources.event_files import read_event_lines, write_event_lines
 from quern.sources.tables import Tables
 from quern.streaming.event_session import EventSession
+from quern.streaming import quarantine
 from quern.streaming.live_view import LiveView
+from quern.streaming.tiered_view import TieredView
 
 
 def _as_events(t: Tables) -> tuple[DataFrame, Column, dict[str, Column]]:
@@ -263,3 +267,105 @@ def blocking_pairs(spark: SparkSession, t: Tables) -> DataFrame:
     return telemetry.blocking_pairs(waiters, blockers, texts).select(
         "waiter_id", "waiter_user", "blocker_id", "blocker_text"
     )
+
+
+# Forms of a few statements, in SQL that both engines read; chr(39) is a quote.
+_FORMS_SQL = """
+    SELECT CASE o_orderkey % 7
+        WHEN 0 THEN 'SELECT * FROM Orders WHERE [CustKey] = ' || o_custkey || ' AND status = '
+            || chr(39) || o_orderstatus || chr(39) || ' -- one line'
+        WHEN 1 THEN 'select *  from orders where custkey = @c and  status = @s'
+        WHEN 2 THEN '(@c int, @s varchar(10))SELECT * FROM orders WHERE custkey = @c AND status = @s'
+        WHEN 3 THEN 'SELECT /* a * b */ * FROM "orders" WHERE custkey = -' || o_custkey
+            || ' AND status = N' || chr(39) || 'it' || chr(39) || chr(39) || 's '
+            || o_orderpriority || chr(39) || ';'
+        WHEN 4 THEN 'SELECT name FROM part WHERE size IN (' || o_custkey || ', ' || o_orderkey || ')'
+        WHEN 5 THEN 'SELECT name FROM part WHERE size IN (0xAF)'
+        ELSE 'INSERT INTO [my parts] VALUES (' || o_custkey || ', 1e5), (' || o_orderkey || ', .5)'
+        END AS stmt FROM {orders}
+"""
+
+
+def _template_sql(source: str) -> str:
+    token, name = statements.TOKEN.replace("'", "''"), statements._PLAIN_NAME.replace("'", "''")
+    value = statements._VALUE.replace("'", "''")
+    text = "array_to_string(list_transform(t, lambda x: " + (
+        f"CASE WHEN regexp_full_match(x, '{value}') THEN '?' "
+        f"WHEN regexp_full_match(x, '{name}') THEN lower(regexp_extract(x, '{name}', 1)) "
+        "ELSE lower(x) END), ' ')"
+    )
+    for pattern, replacement in statements.REWRITES:
+        pattern = pattern.replace("'", "''")
+        text = f"regexp_replace({text}, '{pattern}', '{replacement.replace('$', chr(92))}', 'g')"
+    return f"""
+    SELECT md5(template) AS fingerprint, template, CAST(sum(n) AS BIGINT) AS executions,
+           count(*) AS texts
+    FROM (SELECT {text} AS template, n FROM (
+        SELECT list_filter(regexp_extract_all(stmt, '({token})', 1),
+                   lambda x: NOT (starts_with(x, '--') OR starts_with(x, '/*'))) AS t, n
+        FROM (SELECT stmt, count(*) AS n FROM ({source}) GROUP BY stmt)))
+    GROUP BY template
+    """
+
+
+@query(_template_sql(_FORMS_SQL.format(orders="orders")))
+def template_rollup(spark: SparkSession, t: Tables) -> DataFrame:
+    forms = spark.sql(_FORMS_SQL, orders=t.orders)
+    return telemetry.template_rollup(forms, "stmt")
+
+
+@query(
+    f"""
+    SELECT 'captured' AS outcome, CASE WHEN event_type = 'purchase' THEN 'rpc_completed'
+               ELSE 'sql_batch_completed' END AS detail, count(*) AS n_lines
+    FROM events WHERE event_id % 10 NOT IN (1, 2, 3, 4) GROUP BY ALL
+    UNION ALL
+    SELECT 'quarantined', CASE event_id % 10 WHEN 1 THEN '{quarantine.BROKEN}'
+               WHEN 2 THEN '{quarantine.NAMELESS}' WHEN 3 THEN '{quarantine.MISTYPED}'
+               ELSE '{quarantine.EMPTY}' END, count(*)
+    FROM events WHERE event_id % 10 IN (1, 2, 3, 4) GROUP BY ALL
+    """
+)
+def event_quarantine(spark: SparkSession, t: Tables) -> DataFrame:
+    """Events of which some lines were cut off, lost their name, type or content."""
+    rows, name, fields = _as_events(t)
+    kind = F.col("event_id") % 10
+    texts = ("batch_text", "statement", "query_hash", "query_plan_hash")
+    nodes = {f: escape(v) if f in texts else v.cast("string") for f, v in fields.items()}
+    nodes["logical_reads"] = F.when(kind == 3, F.lit("many")).otherwise(nodes["logical_reads"])
+    line = event_xml(escape(name), nodes)
+    broken = (
+        F.when(kind == 1, F.left(line, F.lit(30)))
+        .when(kind == 2, F.regexp_replace(line, '^<event name="[^"]*">', "<event>"))
+        .when(kind == 4, F.lit(""))
+        .otherwise(line)
+    )
+    lines = shared_folder(spark, "mixed-lines")
+    rows.select(broken.alias("value")).write.text(lines)
+    session = quarantine.QuarantineSession(
+        spark, "quern_quarantine", lines, shared_folder(spark, "mixed-captured"),
+        shared_folder(spark, "mixed-checkpoint"), bytes_per_batch=1 << 40,
+    )
+    session.start(available_now=True).awaitTermination()
+    good = session.captured().select(F.lit("captured").alias("outcome"), F.col("event_name").alias("detail"))
+    bad = session.quarantined().select(F.lit("quarantined").alias("outcome"), F.col("reason").alias("detail"))
+    return good.unionByName(bad).groupBy("outcome", "detail").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@query(
+    """
+    SELECT user_id, count(*) AS n_rows,
+           CAST(sum(coalesce(CAST(round(value * 100) AS BIGINT), 0)) AS BIGINT) AS sum_cents
+    FROM events GROUP BY user_id
+    """
+)
+def agg_view_tiered(spark: SparkSession, t: Tables) -> DataFrame:
+    """The events per user in ten micro-batches, whose parts are merged on the way."""
+    view = TieredView(
+        spark, shared_folder(spark, "tiered-view"), ["user_id"],
+        {"sum_cents": F.coalesce(cents(F.col("value")), F.lit(0))}, fan=4,
+    )
+    rows = t.events.select("event_id", "user_id", "value")
+    for batch in range(10):
+        view.add(rows.filter(F.pmod("event_id", F.lit(10)) == batch), batch)
+    return view.read()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.numeric import whole_average
+from quern.functions.statements import statement_template
 from quern.functions.text import normalized_statement
 from quern.functions.xml import event_field, parse_event
 from quern.operators.joins import apply_keyed
@@ -35,8 +36,8 @@ def shred_events(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return shred_parsed(payloads.select(parse_event(F.col(payload)).alias("event")))
 
 
-def shred_parsed(events: DataFrame) -> DataFrame:
-    """Typed columns from parsed documents in column ``event``."""
+def shred_parsed(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed columns from parsed documents in column ``event``; ``keep`` passes others."""
     event = F.col("event")
     name = event["_name"]
     return events.select(
@@ -46,6 +47,7 @@ def shred_parsed(events: DataFrame) -> DataFrame:
             name, {e: event_field(event, f) for e, f in TEXT_FIELDS.items()}
         ).alias("sql_text"),
         *[event_field(event, h, "binary").alias(h) for h in HASHES],
+        *keep,
     )
 
 
@@ -90,6 +92,23 @@ def statement_templates(statements: DataFrame, text: str) -> DataFrame:
     )
 
 
+def template_rollup(statements: DataFrame, text: str) -> DataFrame:
+    """Executions and different texts per statement template.
+
+    Equal texts are counted first, so each is cut into tokens once, and a frequent one
+    is combined map-side.
+    """
+    per_text = statements.groupBy(F.col(text).alias("text")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return (
+        per_text.select(statement_template(F.col("text")).alias("template"), "n")
+        .groupBy("template")
+        .agg(F.sum("n").alias("executions"), F.count(F.lit(1)).alias("texts"))
+        .select(F.md5("template").alias("fingerprint"), "template", "executions", "texts")
+    )
+
+
 def blocking_pairs(
     waiters: DataFrame, blockers: DataFrame, texts: DataFrame
 ) -> DataFrame:
