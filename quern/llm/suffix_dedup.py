@@ -224,9 +224,9 @@ def _weigh(length: int, buckets: int):
     return run
 
 
-def overfull(documents: DataFrame, length: int, buckets: int, bound: int, sample: int) -> np.ndarray:
+def overfull(rows: DataFrame, length: int, buckets: int, bound: int, sample: int) -> np.ndarray:
     """Buckets whose strings take more than about ``bound`` bytes: input / bound at most."""
-    some = documents.filter(F.pmod(F.col("key"), F.lit(sample)) == 0)
+    some = rows.filter(F.pmod(F.xxhash64("doc", "key"), F.lit(sample)) == 0)
     sizes = some.mapInArrow(_weigh(length, buckets), "bucket long, size long")
     large = sizes.groupBy("bucket").agg(F.sum("size").alias("n")).filter(F.col("n") > bound // sample)
     return large.select("bucket").toArrow()["bucket"].to_numpy()
@@ -404,24 +404,29 @@ def _judge(length: int):
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
-        F.xxhash64("text").alias("key"), "text",
-    )
+    """Rows with ``doc``, their order, and ``key``, which tells rows of one doc_id apart.
+
+    It is a hash of the text, or 0 where no other row has the doc_id: zeros take no space.
+    """
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), doc.alias("doc"), "text")
+    repeated = rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc")
+    marked = maybe_in(rows, materialize(repeated, "repeated-ids"), ["doc"], "__repeated")
+    key = F.when(F.col("__repeated"), F.xxhash64("text")).otherwise(F.lit(0))
+    return marked.select("doc_id", "doc", key.alias("key"), "text")
 
 
 def repeated_bytes(
-    documents: DataFrame, length: int = 100, buckets: int | None = None,
+    rows: DataFrame, length: int = 100, buckets: int | None = None,
     bound: int = 4 * BUCKET, sample: int = SAMPLE,
 ) -> DataFrame:
-    """``doc``, ``key`` and the byte span [start, end) of repeated strings; they may overlap."""
+    """``doc``, ``key`` and the byte span [start, end) of repeated strings of ``keyed``
+    rows; they may overlap."""
     if length <= GRAM:
         raise ValueError(f"length has to be above {GRAM}")
-    rows = keyed(documents)
-    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if buckets is None:
-        size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(tasks, 4 * size // BUCKET)
     split = overfull(rows, length, buckets, bound, sample)
     return (
@@ -470,12 +475,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeated_bytes(documents: DataFrame, length: int = 100, **limits) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans`` and the ``kept`` bytes of every row."""
     span = F.struct("start", "end")
+    keys = keyed(documents)
     spans = materialize(
-        repeated_bytes(documents, length, **limits)
+        repeated_bytes(keys, length, **limits)
         .groupBy("doc", "key").agg(F.collect_set(span).alias("spans")),
         "byte-spans",
     )
-    rows = maybe_in(keyed(documents), spans, ["doc", "key"], "__cut")
+    rows = maybe_in(keys, spans, ["doc", "key"], "__cut")
     # Only texts that may lose bytes travel to meet their spans.
     cut = rows.filter("__cut").join(spans.hint("shuffle_hash"), ["doc", "key"], "left")
     whole = rows.filter("not __cut").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
