@@ -35,22 +35,37 @@ def join_by(
     on: Column | str | Sequence[str],
     method: str,
     broadcast_rows: int = 200_000,
+    broadcast_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
     """Inner join with a requested method.
 
     The right side is only broadcast after a check that it has at most
-    ``broadcast_rows`` rows; beyond that the join shuffles.
+    ``broadcast_rows`` rows and takes at most ``broadcast_bytes``; beyond that the join
+    shuffles.
     """
     if method not in METHODS:
         raise ValueError(f"unknown join method {method!r}, expected one of {METHODS}")
-    if method == "broadcast" and not at_most(right, broadcast_rows):
+    if method == "broadcast" and not fits(right, broadcast_rows, broadcast_bytes):
         method = "merge"
     return left.join(right.hint(method), on, "inner")
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows, by a map-side count."""
-    return df.count() <= rows
+    """Whether ``df`` has no more than ``rows`` rows; reads little more than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def fits(df: DataFrame, rows: int, size: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows and about ``size`` bytes.
+
+    Both are measured on ``rows`` + 1 rows at most.  A row's bytes are those of its JSON
+    form, which names its columns, so the estimate is on the safe side.
+    """
+    width = F.octet_length(F.to_json(F.struct("*")))
+    found = df.limit(rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return found["n"] <= rows and found["bytes"] <= size
 
 
 def pair_with_few(rows: DataFrame, few: DataFrame, max_few: int = 1_000) -> DataFrame:
@@ -85,14 +100,28 @@ def latest_per_key(
     order: str,
     keyed: DataFrame | None = None,
     keyed_key: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows that hold the highest ``order`` value of their key, ties included.
 
+    If ``order`` is unique within a key, ``unique=True`` reads the rows once: the best row
+    of each key is kept map-side, and one row per key and task is shuffled.
+
     With ``keyed``, whose ``keyed_key`` is unique, only its keys are kept and its
     columns are added; it is joined to the aggregate, not to the rows.  The
     maximum is aggregated map-side first, and the join back is on both columns,
     so the rows of one hot key spread over the partitions.
     """
+    if unique:
+        best = rows.groupBy(F.col(key).alias("__key")).agg(
+            F.max_by(F.struct(*rows.columns), order).alias("__row")
+        ).filter(F.col("__key").isNotNull() & F.col("__row").isNotNull())
+        found = best.select("__row.*")
+        if keyed is None:
+            return found
+        return found.join(keyed, F.col(key) == F.col(keyed_key)).select(
+            *rows.columns, *keyed.columns
+        )
     latest = rows.groupBy(F.col(key).alias("__key")).agg(
         F.max(order).alias("__latest")
     )

@@ -126,14 +126,28 @@ def top_with_position(
 
     Both orders must be total.  The table is not sorted a second time: each row
     is counted in the slot of how many picked rows it precedes, which is a small
-    map-side aggregate.  A picked row comes after exactly the rows whose slot is
-    higher than its own.
+    map-side aggregate, found by bisection in the sorted picked rows.  A picked row
+    comes after exactly the rows whose slot is higher than its own.
     """
     names = [name for name, _ in position]
     best = df.orderBy(*sort_columns(pick)).limit(count)
-    marks = best.agg(F.collect_list(F.struct(*names))).scalar()
+    in_order = F.array_sort(
+        F.collect_list(F.struct(*names)),
+        lambda a, b: F.when(_precedes(a, b, position), -1).when(_precedes(b, a, position), 1).otherwise(0),
+    )
+    marks = best.agg(in_order).scalar()
     here = F.struct(*names)
-    slot = F.size(F.filter("__marks", lambda mark: _precedes(here, mark, position)))
+
+    def not_after(at: Column) -> Column:
+        """Whether the mark at this place exists and the row does not precede it."""
+        mark = F.get("__marks", at)
+        return mark.isNotNull() & ~_precedes(here, mark, position)
+
+    steps = F.array(*[F.lit(1 << b) for b in range(count.bit_length() - 1, -1, -1)])
+    passed = F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(not_after(at + step - 1), step).otherwise(0)
+    )
+    slot = F.size("__marks") - passed
     slots = (
         df.select(*names, marks.alias("__marks"))
         .groupBy(slot.alias("__slot"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.numeric import MONEY, money, rounded_int
+from quern.functions.numeric import MONEY, cents, money, rounded_int
 from quern.functions.text import drop_last_char
 from quern.operators import changes as change
 from quern.operators.loads import (
@@ -19,6 +19,7 @@ from quern.plans.registry import query
 from quern.session import shared_folder
 from quern.sources.sinks import create_table_as
 from quern.sources.tables import Tables
+from quern.sources.versions import VersionedTable
 
 
 @query(
@@ -219,3 +220,36 @@ def key_checks(spark: SparkSession, t: Tables) -> DataFrame:
 def retype_column(spark: SparkSession, t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", "p_name", "p_size")
     return change.retype(rows, "p_size", "string", width=500)
+
+
+@query(
+    """
+    SELECT 1 AS version, o_orderstatus, count(*) AS n_rows,
+           CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+    FROM orders GROUP BY o_orderstatus
+    UNION ALL
+    SELECT 2, o_orderstatus, count(*),
+           CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)
+               - CASE WHEN o_orderstatus = 'F' THEN 100 ELSE 0 END) AS BIGINT)
+    FROM orders WHERE o_orderstatus IS DISTINCT FROM 'P' GROUP BY o_orderstatus
+    """
+)
+def publish_versions(spark: SparkSession, t: Tables) -> DataFrame:
+    """A table is replaced and compacted while a reader of its first version goes on."""
+    status = F.col("o_orderstatus")
+    table = VersionedTable(spark, shared_folder(spark, "orders-published"))
+    first = t.orders.select("o_orderkey", cents(F.col("o_totalprice")).alias("cents"), "o_orderstatus")
+    table.publish(first, "o_orderstatus")
+    reader = table.read()
+    cheaper = F.col("cents") - F.when(status == "F", 100).otherwise(0)
+    table.publish(
+        reader.filter(~status.eqNullSafe("P")).withColumn("cents", cheaper), "o_orderstatus"
+    )
+    table.compact()
+    parts = [
+        rows.groupBy("o_orderstatus")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("cents").alias("cents"))
+        .select(F.lit(number).alias("version"), "o_orderstatus", "n_rows", "cents")
+        for number, rows in ((1, reader), (2, table.read()))
+    ]
+    return parts[0].unionByName(parts[1])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.dates import in_month, us_date
+from quern.operators.domains import Domains, Interval, between, exactly
 from quern.operators.filters import (
     equals_literal,
     has_rows,
@@ -221,3 +224,29 @@ def filter_contradiction(spark: SparkSession, t: Tables) -> DataFrame:
 @query("SELECT DISTINCT p_name FROM part")
 def distinct_names(spark: SparkSession, t: Tables) -> DataFrame:
     return t.part.select("p_name").distinct()
+
+
+@query(
+    """
+    SELECT 'inside' AS probe, count(*) AS n_rows FROM part WHERE p_size = 20
+    UNION ALL SELECT 'outside', count(*) FROM part WHERE p_size = 60
+    UNION ALL SELECT 'whole', count(*) FROM part WHERE p_size BETWEEN 0 AND 100
+    UNION ALL SELECT 'edge', count(*) FROM part WHERE p_size >= 50 AND p_size < 90
+    """
+)
+def domain_probe(spark: SparkSession, t: Tables) -> DataFrame:
+    """Sizes are declared to lie between 1 and 50, which is verified first."""
+    domains = Domains({"p_size": between(1, 50)}).verify(t.part)
+    asked = {
+        "inside": exactly(20),
+        "outside": exactly(60),
+        "whole": between(0, 100),
+        "edge": Interval(50, 90, high_closed=False),
+    }
+    probes = [
+        domains.filter(t.part, {"p_size": interval})
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(label).alias("probe"), "n_rows")
+        for label, interval in asked.items()
+    ]
+    return reduce(DataFrame.unionByName, probes)

@@ -16,8 +16,11 @@ from quern.operators.joins import (
     pair_with_few,
     where_key_exists,
 )
+from quern.operators.skew import skew_join
+from quern.operators.trust import BrokenReference, TrustedReferences, verify_reference
 from quern.plans.registry import query
 from quern.plans.table_functions import register_table_functions
+from quern.session import shared_folder
 from quern.sources.tables import Tables
 
 
@@ -255,3 +258,52 @@ def apply_lateral_outer(spark: SparkSession, t: Tables) -> DataFrame:
         """,
         orders=t.orders,
     )
+
+
+@query(
+    """
+    SELECT l_suppkey, count(*) AS n_rows, count(o_orderkey) AS n_pairs,
+           CAST(sum(o_orderkey) AS BIGINT) AS order_sum
+    FROM lineitem LEFT JOIN orders ON o_custkey = l_suppkey GROUP BY l_suppkey
+    """
+)
+def join_skew_both(spark: SparkSession, t: Tables) -> DataFrame:
+    """Frequent keys on both sides, cut into fragments that meet pairwise."""
+    lines = t.lineitem.select("l_suppkey")
+    bought = t.orders.select("o_custkey", "o_orderkey")
+    return (
+        skew_join(lines, bought, ["l_suppkey"], ["o_custkey"], "left")
+        .groupBy("l_suppkey")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("o_orderkey").alias("n_pairs"),
+            F.sum("o_orderkey").alias("order_sum"),
+        )
+    )
+
+
+@query(
+    """
+    SELECT o_custkey, o_orderkey, o_orderdate FROM orders
+    WHERE o_custkey IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1
+    """
+)
+def latest_order(spark: SparkSession, t: Tables) -> DataFrame:
+    """The key is unique among a customer's orders, so one pass is enough."""
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
+    return latest_per_key(rows, "o_custkey", "o_orderkey", unique=True)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders JOIN customer ON o_custkey = c_custkey")
+def join_trusted(spark: SparkSession, t: Tables) -> DataFrame:
+    """Orders with a customer; where the reference was verified, without a join."""
+    known = TrustedReferences(spark, shared_folder(spark, "references") + ".json")
+    key, parent_key = ["o_custkey"], ["c_custkey"]
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    customers = t.customer.select("c_custkey")
+    try:
+        known.trust("customer", verify_reference(orders, key, customers, parent_key))
+    except BrokenReference:
+        pass  # orders without a customer: the semi join drops them
+    return known.with_parent("customer", orders, key, customers, parent_key)

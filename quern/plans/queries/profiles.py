@@ -13,6 +13,7 @@ from quern.operators.aggregates import (
 )
 from quern.operators.histograms import step_histogram as steps_of
 from quern.operators.sketches import DISTINCT_ERROR, RANK_ERROR, SketchStore
+from quern.operators.zorder import write_clustered
 from quern.plans.registry import query
 from quern.session import materialize, shared_folder
 from quern.sources.tables import Tables
@@ -246,3 +247,14 @@ def sketch_profile(spark: SparkSession, t: Tables) -> DataFrame:
             "median_within"
         ),
     )
+
+
+@query("SELECT l_partkey, l_suppkey, l_shipdate, l_orderkey FROM lineitem")
+def layout_clustered(spark: SparkSession, t: Tables) -> DataFrame:
+    """Lines clustered by part, supplier and date at once."""
+    return write_clustered(
+        t.lineitem.select("l_partkey", "l_suppkey", "l_shipdate", "l_orderkey"),
+        shared_folder(spark, "lines-clustered"),
+        ["l_partkey", "l_suppkey", "l_shipdate"],
+        spread_by=["l_orderkey"],
+    )

@@ -60,6 +60,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder, after making the folder that it moves into."""
+    jvm, _, source, fs = _hadoop(spark, path)
+    fs.mkdirs(jvm.Path(target).getParent())
+    if not fs.rename(source, jvm.Path(target)):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders in a folder, such as those of partition values."""
     _, _, target, fs = _hadoop(spark, path)
@@ -90,15 +98,18 @@ class VersionedTable:
         return [v["version"] for v in self._state()["versions"]]
 
     def _write(self, df: DataFrame, partition: str | None) -> list[str]:
-        folder = f"v-{uuid.uuid4().hex}"
+        """Write a fresh folder, or one in the folder of each partition value."""
+        fresh = f"v-{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
-        if partition is not None:
-            writer = writer.partitionBy(partition)
-        writer.parquet(f"{self.root}/{folder}")
         if partition is None:
-            return [folder]
-        names = child_folders(self.spark, f"{self.root}/{folder}")
-        return [f"{folder}/{n}" for n in names if "=" in n]
+            writer.parquet(f"{self.root}/{fresh}")
+            return [fresh]
+        writer.partitionBy(partition).parquet(f"{self.root}/{fresh}")
+        names = [n for n in child_folders(self.spark, f"{self.root}/{fresh}") if "=" in n]
+        for name in names:
+            move(self.spark, f"{self.root}/{fresh}/{name}", f"{self.root}/{name}/{fresh}")
+        remove(self.spark, f"{self.root}/{fresh}")
+        return [f"{name}/{fresh}" for name in names]
 
     def publish(self, df: DataFrame, partition: str | None = None) -> int:
         """Write a new version and make it the current one; returns its number."""
@@ -141,8 +152,8 @@ class VersionedTable:
             return []
         pieces = target_pieces(stored, partition, listed, todo.schema, target_bytes)
         fresh = self._write(pieces, partition)
-        names = {f.split("/")[-1] for f in fresh}
-        old = [f for f in entry["folders"] if f.split("/")[-1] not in names]
+        names = {f.split("/")[0] for f in fresh}
+        old = [f for f in entry["folders"] if f.split("/")[0] not in names]
         self._switch(state, old + fresh, entry["schema"], partition)
         return [row[partition] for row in listed]
 
@@ -151,7 +162,9 @@ class VersionedTable:
         state = self._state()
         kept = state["versions"][-keep:]
         replace_file(self.spark, f"{self.root}/{_POINTER}", json.dumps({"versions": kept}))
-        used = {f.split("/")[0] for v in kept for f in v["folders"]}
+        used = {f for v in kept for f in v["folders"]}
         for folder in child_folders(self.spark, self.root):
-            if folder.startswith("v-") and folder not in used:
-                remove(self.spark, f"{self.root}/{folder}")
+            inside = child_folders(self.spark, f"{self.root}/{folder}") if "=" in folder else []
+            for found in [f"{folder}/{n}" for n in inside] or [folder]:
+                if found.split("/")[-1].startswith("v-") and found not in used:
+                    remove(self.spark, f"{self.root}/{found}")

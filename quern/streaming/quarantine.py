@@ -22,12 +22,12 @@ _CORRUPT = "_corrupt_record"
 
 
 def _mistyped(event: Column) -> Column:
-    """Whether a typed field holds text that its type does not take."""
+    """Whether a typed field holds text, other than blanks, that its type does not take."""
     checks = []
     for names, kind in ((MEASURES, "bigint"), (HASHES, "binary")):
         for name in names:
             given = event_field(event, name)
-            checks.append(given.isNotNull() & event_field(event, name, kind).isNull())
+            checks.append((F.trim(given) != "") & event_field(event, name, kind).isNull())
     return reduce(lambda a, b: a | b, checks)
 
 

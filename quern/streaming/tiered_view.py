@@ -75,7 +75,7 @@ class TieredView:
         before = {n for t in state["tiers"] for n in t}
         # Parts that the last pointer names may still be read; older ones are not.
         self._point({"last": batch, "tiers": tiers, "gone": [n for n in gone if n in before]})
-        for name in state.get("gone", []):
+        for name in [*state.get("gone", []), *(n for n in gone if n not in before)]:
             remove(self.spark, f"{self.path}/{name}")
 
     def start(
