@@ -10,7 +10,8 @@
 3. The m-th slot of a source maps to block ``p(m mod n)`` of its n blocks, ``p`` being
    a keyed swap-or-not permutation: a bijection on any n, computed per row without a
    sort.  A source beyond its size is repeated pass by pass.
-4. Slots and blocks are joined by (source, block).
+4. Slots and blocks are joined by (source, block); ``blocks`` puts the words of each
+   slot together, ``mixed_documents`` those of each document.
 
 Every draw is a function of the seed, so reruns agree.  Targets: the weights' shares
 of ``ratio`` times all words, none above ``most`` times its source; the excess is
@@ -31,7 +32,9 @@ from quern.session import materialize
 BLOCK = 128
 SHARD_SLOTS = 1024
 _ROUNDS = 24
+#: Hash buckets per source, and rows of a bucket beyond which there are more of them.
 _BUCKETS = 1024
+_BUCKET_ROWS = 50_000
 
 
 def word_list(text: str = "text") -> Column:
@@ -94,14 +97,16 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
 def streams(documents: DataFrame) -> DataFrame:
     """Documents with ``size`` (words) and ``start``, their place in the source's stream.
 
-    Documents are dealt into ``_BUCKETS`` hash buckets per source.  Buckets follow each
-    other in the stream, and documents by doc_id inside a bucket.
+    Documents are dealt into hash buckets per source, as many as the number of rows
+    asks for.  Buckets follow each other in the stream, and documents by doc_id inside a
+    bucket.
     """
+    buckets = max(_BUCKETS, -(-documents.count() // _BUCKET_ROWS))
     # Stored without texts: words are counted once, and the rows are read twice.
     rows = materialize(
         documents.select(
             "doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count().alias("size")
-        ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(_BUCKETS))),
+        ).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets))),
         "sizes",
     )
     per_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -219,6 +224,59 @@ def taken_pieces(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> Dat
     return parts.join(used, ["s", "none", "block"]).drop("s", "none")
 
 
+def blocks(
+    documents: DataFrame, placed: DataFrame, slots: DataFrame, block: int = BLOCK
+) -> DataFrame:
+    """The blocks of the mix: ``shard``, ``position``, ``source``, ``pass``, ``block``, the
+    ``words`` in order, and ``parts``: which document each run of words comes from.
+
+    All blocks have ``block`` words but for the last one of a source.  Each piece of a
+    document is cut from one copy of its text and travels to its slots.
+    """
+    texts = documents.groupBy(
+        F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash")
+    ).agg(F.any_value("text").alias("text"))
+    taken = (
+        taken_pieces(placed, slots, block)
+        .groupBy("doc_id", "text_hash")
+        .agg(
+            F.collect_list(
+                F.struct("shard", "position", "source", "pass", "block", "start", "first", "words")
+            ).alias("parts")
+        )
+    )
+    own = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    cut = F.element_at(
+        F.transform(
+            F.array(word_list()),
+            lambda words: F.transform(
+                "parts",
+                lambda p: F.struct(
+                    p["shard"].alias("shard"), p["position"].alias("position"),
+                    p["source"].alias("source"), p["pass"].alias("pass"), p["block"].alias("block"),
+                    (p["start"] + p["first"]).alias("at"), p["first"].alias("first"),
+                    F.slice(words, (p["first"] + 1).cast("int"), p["words"].cast("int")).alias("words"),
+                ),
+            ),
+        ),
+        1,
+    )
+    pieces_of = taken.join(texts, own).select("doc_id", F.inline(cut))
+    slot = ["shard", "position", "source", "pass", "block"]
+    in_order = F.array_sort(F.collect_list(F.struct("at", "doc_id", "first", "words")))
+    return pieces_of.groupBy(*slot).agg(in_order.alias("runs")).select(
+        *slot,
+        F.flatten(F.col("runs.words")).alias("words"),
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["doc_id"].alias("doc_id"), r["first"].alias("first"),
+                F.size(r["words"]).alias("words"),
+            ),
+        ).alias("parts"),
+    )
+
+
 def mixed_documents(
     documents: DataFrame, weights: Column, block: int = BLOCK, **options
 ) -> DataFrame:

@@ -181,7 +181,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_virtual_slot_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7 of near equal bytes."""
-    placed, _ = place(table(spark, sf_dir, "documents"))
+    placed, _ = place(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),

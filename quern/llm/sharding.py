@@ -1,22 +1,26 @@
 """Sharding over fixed virtual slots, in DataFrame functions only.
 
 Records are hashed into ``slots`` virtual slots, which never change.  What changes is
-the slot-to-shard map: a small versioned table (slot, shard, bytes, rows).  Version 1
-deals the slots out in turn; ``rebalance`` edits a version into the next one, moving
-only what exceeds a shard's fair share (or what a new shard needs), and every version
-is kept.  A record's shard is looked up through its slot.
+the slot-to-shard map: a small stored table (version, slot, shard, bytes, rows).  Version
+1 deals the slots out in turn; ``rebalance`` edits the newest version into the next one,
+moving only what exceeds a shard's fair share (or what a new shard needs).  ``place``
+starts a map or goes on with a stored one, and stores it with all its versions.  A
+record's shard is looked up through its slot in the newest version.
 
 The map has ``slots`` rows, a fixed number, so windows over it and its broadcast are
 bounded.  The law is ``bytes``: sizes of the shards are near equal.
 
-Defined results: NULL text has no bytes, so its size is 1; a NULL doc_id has a slot of
-its own; rows with equal doc_id fall into one slot; an empty table gives an empty
-result with the same columns; other columns are passed through by ``place`` unless
-they are named as one of its own.
+Defined results: NULL text has no bytes, so its size is 1; a slot comes from doc_id (NULL
+is a value) and the text's checksum, so rows that repeat an id or have none spread, and
+only rows equal in both share a slot; texts of any length count with all their bytes;
+an empty table gives an empty result with the same columns; other columns are passed
+through by ``place`` unless they are named as one of its own, which replace them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +29,10 @@ from quern.session import materialize
 SLOTS = 4096
 
 
-def slot_of(key: Column, slots: int = SLOTS) -> Column:
-    """A slot from the first 60 bits of the MD5 of the key's text."""
-    digest = F.md5(F.coalesce(key.cast("string"), F.lit("null")))
+def slot_of(*keys: Column, slots: int = SLOTS) -> Column:
+    """A slot from the first 60 bits of the MD5 of the keys' texts."""
+    texts = [F.coalesce(k.cast("string"), F.lit("null")) for k in keys]
+    digest = F.md5(F.concat_ws(" ", *texts))
     return F.pmod(
         F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(slots)
     ).alias("vslot")
@@ -58,6 +63,7 @@ def rebalance(placement: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
     newest = placement.agg(F.max("version")).scalar()
     current = (
         placement.filter(F.col("version") == newest)
+        .select("version", "vslot", "shard")
         .join(loads, "vslot", "left")
         .select(
             "version", "vslot", "shard", F.coalesce("bytes", F.lit(0)).alias("bytes"),
@@ -128,18 +134,37 @@ def text_size(text: str = "text") -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def place(documents: DataFrame, shards: int = 8, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def newest_version(placement: DataFrame) -> DataFrame:
+    return placement.filter(F.col("version") == placement.agg(F.max("version")).scalar())
+
+
+def place(
+    documents: DataFrame, shards: int = 8, slots: int = SLOTS, placement: DataFrame | None = None,
+    keep: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Rows with ``size``, ``text_crc32``, ``vslot``, ``shard``, ``slot``; and the map.
 
-    The text itself does not travel: a row carries its size and checksum.
+    ``placement`` is a map of an earlier call, with the same number of slots: its newest
+    version is edited for these rows and this number of shards.  The map that is returned
+    is stored and has all versions.  ``keep`` names the columns that travel with a row;
+    without it all do.
     """
     spark = documents.sparkSession
+    own = ["size", "text_crc32", "vslot", "shard", "slot"]
+    columns = documents.columns if keep is None else list(keep)
+    crc = F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")))
     sized = documents.select(
-        "doc_id", text_size().alias("size"),
-        F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))).alias("text_crc32"),
-        slot_of(F.col("doc_id"), slots),
+        *[c for c in columns if c not in own and c != "doc_id"], "doc_id",
+        text_size().alias("size"), crc.alias("text_crc32"),
+        slot_of(F.col("doc_id"), crc, slots=slots),
     )
-    first = first_map(spark, shards, slots)
+    if placement is None:
+        placement = first_map(spark, shards, slots).select(
+            "*", F.lit(0).cast("long").alias("bytes"), F.lit(0).cast("long").alias("rows")
+        )
     # The map is stored: all lookups use one version, whatever is run again.
-    placement = materialize(rebalance(first, slot_loads(sized), shards), "slot-map-v2")
-    return number_rows(sized, placement, ["doc_id", "size", "text_crc32"]), placement
+    edited = rebalance(placement, slot_loads(sized), shards)
+    placement = materialize(placement.unionByName(edited.select(*placement.columns)), "slot-map")
+    placed = number_rows(sized, newest_version(placement), ["doc_id", "size", "text_crc32"])
+    first = [c for c in columns if c not in own]
+    return placed.select(*first, *[c for c in ["doc_id", *own] if c not in first]), placement

@@ -199,6 +199,30 @@ def test_rebalancing_moves_little_and_balances(spark):
     assert moved <= grown[4] + 2 * 1000
 
 
+def test_a_stored_map_is_edited(spark):
+    rows = [(i % 40 if i % 3 else None, f"text {i}", "mine", "other") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, vslot string, extra string")
+    placed, first = sharding.place(docs, 4, slots=64)
+    assert placed.columns == ["doc_id", "text", "extra", "size", "text_crc32", "vslot", "shard", "slot"]
+    assert sorted(r.version for r in first.select("version").distinct().collect()) == [1, 2]
+    # Rows without an id spread over the shards.
+    alone = Counter(r.shard for r in placed.filter("doc_id IS NULL").collect())
+    assert len(alone) == 4 and max(alone.values()) < 120
+    grown, second = sharding.place(docs, 5, slots=64, placement=first)
+    assert first.exceptAll(second).isEmpty() and second.count() == 3 * 64
+    old = {(r.doc_id, r.text): r for r in placed.collect()}
+    moved = size = 0
+    for r in grown.collect():
+        assert r.vslot == old[r.doc_id, r.text].vslot
+        size += r.size
+        moved += r.size * (r.shard != old[r.doc_id, r.text].shard)
+    assert moved < 0.35 * size
+    again, third = sharding.place(docs, 5, slots=64, placement=second)
+    same = {(r.doc_id, r.text): r.shard for r in grown.collect()}
+    assert sum(r.size * (same[r.doc_id, r.text] != r.shard) for r in again.collect()) < 0.15 * size
+    assert sorted(r.version for r in third.select("version").distinct().collect()) == [1, 2, 3, 4]
+
+
 def test_permutation_is_a_bijection(spark):
     for n in (1, 2, 7, 1000):
         image = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5)).alias("x"))
@@ -224,6 +248,25 @@ def test_mixed_documents_hold_the_taken_words(spark):
     assert got == Counter(taken)
 
 
+def test_blocks_of_the_mix(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20))  # repeated rows have words of their own
+    placed, quotas, slots = mixing.mix(docs, mixing.alternating(), block=16)
+    found = mixing.blocks(docs, placed, slots, 16).collect()
+    assert len(found) == slots.count() == len({(r.shard, r.position) for r in found})
+    last = {r.source: r.blocks - 1 for r in quotas.collect()}
+    text = {r.doc_id: cases.words(r.text) for r in docs.collect()}
+    taken = Counter()
+    for r in found:
+        assert len(r.words) == 16 or r.block == last[r.source]
+        parts = [w for p in r.parts for w in text[p.doc_id][p.first : p.first + p.words]]
+        assert parts == r.words
+        for p in r.parts:
+            taken[p.doc_id] += p.words
+    expected = mixing.taken_pieces(placed, slots, 16).groupBy("doc_id").agg(F.sum("words").alias("n"))
+    assert taken == Counter({r.doc_id: r.n for r in expected.collect()})
+
+
 def test_multinomial_counts_vary_by_shard_and_meet_quotas(spark):
     quotas = spark.createDataFrame([("a", 5000), ("b", 3000), (None, 2000)], "source string, slots long")
     rows = mixing.draw_slots(quotas, 3, 100).collect()
