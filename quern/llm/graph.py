@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from quern.session import materialize
 
+#: A node with fewer edges is never treated as frequent.
+LEAST_HOT = 1000
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -53,34 +55,50 @@ def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=_EDGE)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return (
-        both.filter("b > a").join(least, "a")
-        .select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+def _with_least(edges: DataFrame, neighbours: DataFrame, hot: int) -> DataFrame:
+    """Edges with ``m``, the smallest of ``neighbours``' b at the edge's ``a``.
+
+    A centre with more than ``hot`` edges is looked up in a broadcast: there are at most
+    as many such centres as edges / ``hot``.  So no task gets all edges of one centre.
+    """
+    least = neighbours.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    centres = least.filter(F.col("n") > hot).select("a", F.col("m").alias("hot_m"))
+    marked = edges.join(F.broadcast(centres), "a", "left")
+    rest = marked.filter("hot_m IS NULL").drop("hot_m").join(
+        least.filter(F.col("n") <= hot).select("a", "m"), "a"
     )
+    return rest.unionByName(marked.filter("hot_m IS NOT NULL").withColumnRenamed("hot_m", "m"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, hot: int) -> DataFrame:
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = _with_least(both.filter("b > a"), both, hot)
+    return found.select(F.col("b").alias("a"), F.least("m", "a").alias("b")).filter("a <> b")
+
+
+def _small_star(edges: DataFrame, hot: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter("b <> m").select(
+    moved = _with_least(down, down, hot).filter("b <> m").select(
         F.col("b").alias("a"), F.col("m").alias("b")
     )
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    least = down.groupBy("a").agg(F.min("b").alias("b"))
+    return moved.unionByName(least).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, hot: int | None = None) -> DataFrame:
     """Columns ``node``, ``component`` (the smallest node) of all nodes with edges.
 
     ``edges`` has BIGINT columns ``a`` and ``b`` without NULLs.  Nodes whose only
-    edges are loops do not appear.
+    edges are loops do not appear.  A node with more than ``hot`` edges (an even share
+    per task, if not given) is treated as described in ``_with_least``.  Rounds go on
+    until nothing changes; every round before that pulls some node to a smaller one.
     """
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stars = materialize(edges.select("a", "b").mapInArrow(_shrink, "a long, b long"), "stars")
-    state = None
-    for _ in range(rounds):
-        stars = materialize(_small_star(_large_star(stars)), "stars")
+    state, size = None, stars.count()
+    while True:
+        limit = hot or max(LEAST_HOT, 2 * size // tasks)
+        stars = materialize(_small_star(_large_star(stars, limit), limit), "stars")
         now = tuple(
             stars.agg(
                 F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
@@ -88,8 +106,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         )
         if now == state:
             break
-        state = now
-    else:
-        raise RuntimeError("components did not settle")
+        state, size = now, now[0]
     centres = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)

@@ -35,7 +35,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
@@ -337,6 +337,11 @@ def in_blocks(members: DataFrame, group: str, weight: str, limit: int) -> DataFr
     )
 
 
+def _row_key(doc_id: str, text_key) -> Column:
+    """One number for doc_id, NULL among them, and text hash."""
+    return F.xxhash64(doc_id, F.col(doc_id).isNull(), text_key)
+
+
 def near_duplicates(
     documents: DataFrame,
     width: int = 5,
@@ -430,15 +435,19 @@ def near_duplicates(
         ).join(candidates, "node"),
         "candidates",
     )
-    # Only texts of candidates travel, however many candidates there are.
-    texts = maybe_in(
-        documents.select(F.col("doc_id").alias("__id"), text_key.alias("__key"), "text"),
-        members.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")),
-        ["__id", "__key"], "__candidate",
-    ).filter("__candidate").drop("__candidate")
-    dealt = in_blocks(
-        members, "component", "n_shingles", block_shingles
-    ).join(texts, (F.col("text_key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    # Only texts of candidates travel, however many candidates there are; of rows that
+    # repeat id and text one does, and copies combine before the shuffle.
+    members = members.withColumn("row_key", _row_key("doc_id", "text_key"))
+    texts = (
+        maybe_in(
+            documents.select(
+                _row_key("doc_id", text_key).alias("row_key"), F.col("text").alias("text")
+            ),
+            members, ["row_key"], "__candidate",
+        )
+        .filter("__candidate").groupBy("row_key").agg(F.any_value("text").alias("text"))
+    )
+    dealt = in_blocks(members, "component", "n_shingles", block_shingles).join(texts, "row_key")
     links = materialize(
         dealt.select("component", "left", "right", "node", "set_key", "text")
         .groupBy("component", "left", "right")

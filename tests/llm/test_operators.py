@@ -66,6 +66,7 @@ def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)]
     edges += [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]
+    edges += [(5000, 5001 + i) for i in range(300)] + [(4000 + i, 5000 + i) for i in range(9)]
     label = {x: x for e in edges for x in e if e[0] != e[1]}
 
     def find(x):
@@ -77,8 +78,9 @@ def test_components(spark):
         if a != b:
             a, b = find(a), find(b)
             label[max(a, b)] = min(a, b)
-    found = graph.components(spark.createDataFrame(edges, "a long, b long"))
-    assert {r.node: r.component for r in found.collect()} == {x: find(x) for x in label}
+    for hot in (None, 1, 3):  # nodes with more edges are looked up apart
+        found = graph.components(spark.createDataFrame(edges, "a long, b long"), hot)
+        assert {r.node: r.component for r in found.collect()} == {x: find(x) for x in label}
 
 
 def test_words_and_shingles():
