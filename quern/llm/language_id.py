@@ -5,15 +5,21 @@ in lower case, a blank standing for anything that is no letter), counted over al
 training texts and hashed into ``SLOTS`` slots.
 
 Inference: a document's trigrams are taken as draws from a mixture of languages.
-Expectation-maximisation estimates the proportions; candidate sets are the best single
-language and the leading languages of the full mixture, one more at a time; the set
-with the largest likelihood less a penalty per further language is selected, and its
-largest proportion gives the language and the score.
-
-Defined results: a text that is NULL or has no letter is ``und`` with score 0; so is
-every text when nothing was learned; NULL languages and texts teach nothing; ties go
-to the language that comes first by name.  Columns of the input are passed through,
-except ``lang_pred`` and ``score``, which are replaced.
+Expectation-maximisation estimates the proportions, until the likelihood no longer
+rises; candidate sets are the best single language and the leading languages of the
+full mixture, one more at a time as long as the likelihood less a penalty per further
+language rises.  The selected set and its proportions are returned; the largest one
+gives the language and the score.  ``evidence`` is what the mixture explains better, in
+nats a letter, than trigrams drawn at random; no known language gives 0 or less.
+
+A model takes 128 KB per language on every worker; texts are worked on in slices that
+are the smaller the more languages there are.
+
+Defined results: a text that is NULL or has no letter is ``und`` with score 0 and an
+empty set; so is every text when nothing was learned; NULL languages and texts teach
+nothing; ties go to the language that comes first by name; texts of any length count
+with all their letters.  Columns of the input are passed through, except ``lang_pred``,
+``score``, ``languages``, ``proportions`` and ``evidence``, which are replaced.
 """
 
 from __future__ import annotations
@@ -33,10 +39,12 @@ from quern.llm import words as W
 from quern.session import materialize
 
 SLOTS = 1 << 15
-#: A model has at most this many languages; more raise an error.
-MOST_LANGUAGES = 128
-MOST_IN_SET = 4
-ROUNDS = 12
+#: Languages whose counts a task holds before it hands them on.
+HELD = 128
+#: Distinct labels beyond which a model (512 MB) is refused: labels are not languages then.
+MOST_LANGUAGES = 4096
+#: Rounds end when they gain less than this, in nats for the whole document.
+TOLERANCE = 1e-2
 UNKNOWN = "und"
 _letters: np.ndarray | None = None
 
@@ -90,7 +98,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held[name] += mine
                 else:
                     held[name] = mine.astype(np.int64)
-            if len(held) > MOST_LANGUAGES:
+            if len(held) > HELD:
                 yield from give()
     yield from give()
 
@@ -120,74 +128,132 @@ class Model:
         lang = pc.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy()
         counts[rows["slot"].to_numpy(), lang] = rows["n"].to_numpy()
         counts += 0.5
-        return Model(languages, np.log(counts / counts.sum(axis=0)) if languages else counts)
+        log_p = np.log(counts / counts.sum(axis=0)) if languages else counts
+        return Model(languages, log_p.astype(np.float32))
 
 
-def infer(model: Model, row: np.ndarray, slot: np.ndarray, penalty: float):
-    """Best language, its proportion and the number of languages per row with letters.
+@dataclass
+class Mixtures:
+    """Per row with letters: the selected languages by proportion, largest first."""
+
+    row: np.ndarray
+    sets: list[np.ndarray]
+    shares: list[np.ndarray]
+    evidence: np.ndarray
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
 
-    ``row`` ascends.  Equal trigrams of a row are merged and weighted.
+
+def estimate(p: np.ndarray, weight: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions and log-likelihoods of mixtures, by expectation-maximisation.
+
+    Document after document has ``sizes`` rows of ``p``, the probabilities of a trigram
+    in each language, with their ``weight``.  A document leaves the rounds when its
+    likelihood gains less than TOLERANCE; it rises in every round and is bounded.
+    """
+    n, k = len(sizes), p.shape[1]
+    total = _sums(weight, sizes)
+    shares, value = np.full((n, k), 1.0 / k), np.full(n, -np.inf)
+    active = np.arange(n)
+    while len(active):
+        pi = shares[active]
+        joint = p * np.repeat(pi, sizes, axis=0)
+        mass = joint.sum(axis=1)
+        now = _sums(np.log(mass) * weight, sizes)
+        joint *= (weight / mass)[:, None]
+        shares[active] = _sums(joint, sizes) / total[:, None]
+        goes_on = now - value[active] >= TOLERANCE
+        value[active] = now
+        if not goes_on.all():
+            rows = np.repeat(goes_on, sizes)
+            p, weight = p[rows], weight[rows]
+            active, sizes, total = active[goes_on], sizes[goes_on], total[goes_on]
+    return shares, value
+
+
+def infer(model: Model, row: np.ndarray, slot: np.ndarray, penalty: float) -> Mixtures:
+    """The mixture of each row with letters; ``row`` ascends.
+
+    Equal trigrams of a row are merged and weighted.
     """
     key, n = np.unique(row * SLOTS + slot, return_counts=True)
     row, slot = key // SLOTS, key % SLOTS
     starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     sizes = np.diff(np.r_[starts, len(row)])
-    log_p = model.log_p[slot]
+    log_p = model.log_p[slot].astype(np.float64)
     weight = n.astype(float)
-    total = np.add.reduceat(weight, starts)
-    single = np.add.reduceat(log_p * weight[:, None], starts, axis=0)
+    total = _sums(weight, sizes)
+    single = _sums(log_p * weight[:, None], sizes)
+    docs, languages = np.arange(len(starts)), log_p.shape[1]
     best = single.argmax(axis=1)
-    docs = np.arange(len(starts))
-    value = single[docs, best]
-    share = np.ones(len(starts))
-    members = np.ones(len(starts), dtype=np.int64)
-    top = log_p.max(axis=1)
-    p = np.exp(log_p - top[:, None])
-    top_sum = np.add.reduceat(top * weight, starts)
-
-    def mixture(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        pi = allowed / allowed.sum(axis=1, keepdims=True)
-        for _ in range(ROUNDS):
-            joint = p * np.repeat(pi, sizes, axis=0)
-            joint *= (weight / joint.sum(axis=1))[:, None]
-            pi = np.add.reduceat(joint, starts, axis=0) / total[:, None]
-        mass = (p * np.repeat(pi, sizes, axis=0)).sum(axis=1)
-        return pi, np.add.reduceat(np.log(mass) * weight, starts) + top_sum
-
-    languages = log_p.shape[1]
+    value = fit = single[docs, best]
+    sets = [np.array([k]) for k in best]
+    shares = [np.ones(1) for _ in docs]
     if languages > 1:
         cost = penalty * np.log(np.maximum(total, 2))
-        full, _ = mixture(np.ones((len(starts), languages)))
-        order = np.argsort(-full, axis=1, kind="stable")
-        for size in range(2, min(MOST_IN_SET, languages) + 1):
-            allowed = np.zeros((len(starts), languages))
-            allowed[docs[:, None], order[:, :size]] = 1
-            pi, found = mixture(allowed)
-            better = found - cost * (size - 1) > value
-            lead = pi.argmax(axis=1)
-            value = np.where(better, found - cost * (size - 1), value)
-            best = np.where(better, lead, best)
-            share = np.where(better, pi[docs, lead], share)
-            members = np.where(better, size, members)
-    return row[starts], best, np.clip(share, 0, 1), members
+        top = log_p.max(axis=1)
+        p = np.exp(log_p - top[:, None])
+        base = _sums(top * weight, sizes)
+        order = np.argsort(-estimate(p, weight, sizes)[0], axis=1, kind="stable")
+        open_, fit = docs, fit.copy()
+        value = value.copy()
+        for size in range(2, languages + 1):
+            rows = np.repeat(np.isin(docs, open_), sizes)
+            chosen = order[open_, :size]
+            own = np.take_along_axis(p[rows], np.repeat(chosen, sizes[open_], axis=0), axis=1)
+            pi, found = estimate(own, weight[rows], sizes[open_])
+            found += base[open_]
+            penalised = found - cost[open_] * (size - 1)
+            better = penalised > value[open_]
+            for at in np.flatnonzero(better):
+                doc = open_[at]
+                by = np.lexsort((chosen[at], -pi[at]))
+                sets[doc], shares[doc] = chosen[at][by], pi[at][by]
+            kept = open_[better]
+            value[kept], fit[kept] = penalised[better], found[better]
+            open_ = kept
+            if not len(open_):
+                break
+    return Mixtures(row[starts], sets, shares, fit / total + np.log(SLOTS))
+
+
+_ADDED = {
+    "lang_pred": T.StringType(), "score": T.DoubleType(),
+    "languages": T.ArrayType(T.StringType()), "proportions": T.ArrayType(T.DoubleType()),
+    "evidence": T.DoubleType(),
+}
 
 
 def _identify(model: Model, penalty: float):
+    size = max(1 << 14, min(1 << 19, (1 << 23) // max(len(model.languages), 1)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array(model.languages, dtype=object)
         for batch in batches:
             texts = W.text_column(batch, "text")
-            names = np.full(len(texts), UNKNOWN, dtype=object)
-            scores = np.zeros(len(texts))
-            for at, part in W.slices(texts, 1 << 19):
+            n = len(texts)
+            sets: list = [[]] * n
+            shares: list = [[]] * n
+            evidence = np.zeros(n)
+            for at, part in W.slices(texts, size):
                 row, slot = trigrams(part)
                 if len(row) and model.languages:
-                    rows, best, share, _ = infer(model, row, slot, penalty)
-                    names[at + rows] = [model.languages[k] for k in best]
-                    scores[at + rows] = share
-            kept = [n for n in batch.schema.names if n not in ("lang_pred", "score")]
+                    found = infer(model, row, slot, penalty)
+                    evidence[at + found.row] = found.evidence
+                    for r, own, pi in zip(at + found.row, found.sets, found.shares):
+                        sets[r], shares[r] = names[own], pi
+            first = [s[0] if len(s) else UNKNOWN for s in sets]
+            score = [min(1.0, float(pi[0])) if len(pi) else 0.0 for pi in shares]
+            kept = [c for c in batch.schema.names if c not in _ADDED]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), pa.array(names, pa.string()), pa.array(scores)],
-                names=[*kept, "lang_pred", "score"],
+                [
+                    *(batch.column(c) for c in kept), pa.array(first, pa.string()), pa.array(score),
+                    pa.array(sets, pa.list_(pa.string())), pa.array(shares, pa.list_(pa.float64())),
+                    pa.array(evidence),
+                ],
+                names=[*kept, *_ADDED],
             )
             W.give_back()
 
@@ -195,16 +261,15 @@ def _identify(model: Model, penalty: float):
 
 
 def identify(documents: DataFrame, model: Model, penalty: float = 2.0) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (its proportion) to documents with a ``text``.
+    """Add ``lang_pred``, ``score`` (its proportion), ``languages`` and ``proportions`` of the
+    mixture, and ``evidence``, to documents with a ``text``.
 
     ``penalty`` times the log of the number of letters is the price of each further
     language in the set.
     """
-    kept = [f for f in documents.schema if f.name not in ("lang_pred", "score")]
-    schema = T.StructType(
-        [*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
-    return documents.mapInArrow(_identify(model, penalty), schema)
+    kept = [f for f in documents.schema if f.name not in _ADDED]
+    added = [T.StructField(name, kind) for name, kind in _ADDED.items()]
+    return documents.mapInArrow(_identify(model, penalty), T.StructType([*kept, *added]))
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:

@@ -331,10 +331,71 @@ def test_mixture_of_two_languages(spark):
     en = next(r["text"] for r in rows if r["lang"] == "en" and len(r["text"]) > 2000)[:1200]
     es = next(r["text"] for r in rows if r["lang"] == "es" and len(r["text"]) > 2000)[:800]
     row, slot = language_id.trigrams(pa.array([en, en + " " + es, es], pa.large_string()))
-    _, best, share, members = language_id.infer(model, row, slot, 2.0)
-    names = [model.languages[k] for k in best]
-    assert names == ["en", "en", "es"] and members.tolist() == [1, 2, 1]
-    assert 0.5 < share[1] < 0.7
+    found = language_id.infer(model, row, slot, 2.0)
+    names = [[model.languages[k] for k in s] for s in found.sets]
+    assert names == [["en"], ["en", "es"], ["es"]]
+    assert 0.5 < found.shares[1][0] < 0.7 and abs(found.shares[1].sum() - 1) < 1e-9
+    assert (found.evidence > 0).all()
+
+
+def plain_mixture(log_p, slots, members, rounds=4000):
+    pi = np.full(len(members), 1 / len(members))
+    p = np.exp(log_p[slots][:, members].astype(float))
+    for _ in range(rounds):
+        joint = p * pi
+        pi = (joint / joint.sum(axis=1, keepdims=True)).mean(axis=0)
+    return pi, float(np.log(p @ pi).sum())
+
+
+def test_mixtures_equal_plain_estimates():
+    rng = np.random.default_rng(3)
+    k = 7
+    log_p = np.log(rng.dirichlet(np.full(60, 0.3), k).T + 1e-6).astype(np.float32)
+    table = np.full((language_id.SLOTS, k), -12, np.float32)
+    table[:60] = log_p
+    model = language_id.Model([f"l{i}" for i in range(k)], table)
+    texts, truth = [], []
+    for _ in range(40):
+        members = rng.choice(k, rng.integers(1, 7), replace=False)
+        pi = rng.dirichlet(np.full(len(members), 5.0))
+        q = np.exp(log_p[:, members].astype(float)) @ pi
+        texts.append(rng.choice(60, 3000, p=q / q.sum()))
+        truth.append(set(members.tolist()))
+    row = np.repeat(np.arange(40), 3000)
+    found = language_id.infer(model, row, np.concatenate(texts), 2.0)
+    assert max(len(s) for s in found.sets) > 4  # no limit to the set
+    for slots, own, share, members in zip(texts, found.sets, found.shares, truth):
+        pi, _ = plain_mixture(table, slots, own)
+        assert np.abs(pi - share).max() < 0.02
+        full, _ = plain_mixture(table, slots, np.arange(k))
+        order = np.argsort(-full, kind="stable")
+        value, size = max(
+            (plain_mixture(table, slots, order[:s])[1] - 2 * np.log(3000) * (s - 1), -s)
+            for s in range(1, k + 1)
+        )
+        got = plain_mixture(table, slots, own)[1] - 2 * np.log(3000) * (len(own) - 1)
+        assert got >= value - 1.0
+        assert len(set(own.tolist()) & members) >= len(members) - 1
+
+
+def test_no_evidence_for_noise(spark):
+    rows = cases.read("/root/testdata/sf0.001")
+    model = language_id.Model.learn(
+        spark.createDataFrame([(r["text"], r["lang"]) for r in rows], "text string, lang string")
+    )
+    rng = random.Random(9)
+    noise = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(500))
+    frame = spark.createDataFrame([(rows[0]["text"], "x"), (noise, "x"), (None, "x"), ("12", "x")], "text string, languages string")
+    found = language_id.identify(frame, model).collect()
+    assert found[0].evidence > 1 and found[1].evidence <= 0
+    assert [(r.lang_pred, r.score, r.languages, r.evidence) for r in found[2:]] == [("und", 0.0, [], 0.0)] * 2
+
+
+def test_many_languages(spark):
+    rows = [(f"{chr(0x4E00 + i)}{chr(0x5E00 + i)} " * 30, f"lang{i:03d}") for i in range(150)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    found = language_id.identify(frame, language_id.Model.learn(frame)).collect()
+    assert all(r.lang_pred == r.lang for r in found)
 
 
 def test_escapes_are_reversible(spark):
