@@ -6,7 +6,6 @@ import cases
 import pytest
 
 import corpus_pipeline
-from quern.llm import decontamination
 from quern.session import materialize
 
 DATA = "/root/testdata/sf0.001"
@@ -95,6 +94,8 @@ def test_every_mixed_row_has_a_place(stages):
     assert Counter((i, cases.crc(t)) for i, t in texts(before)) == Counter(
         (r.doc_id, r.text_crc32) for r in after.collect()
     )
+    assert Counter(texts(after)) == Counter(texts(before))  # the shards hold the texts
+    assert all(r.text_crc32 == cases.crc(r.text) for r in after.collect())
     slots = {}
     for r in after.collect():
         slots.setdefault(r.shard, []).append(r.slot)
@@ -102,5 +103,26 @@ def test_every_mixed_row_has_a_place(stages):
 
 
 def test_run_gives_the_last_stage(spark):
-    assert corpus_pipeline.run(spark, DATA).count() > 0
-    assert decontamination.SHINGLE == 5
+    found = corpus_pipeline.run(spark, DATA)
+    assert {"doc_id", "text", "source", "shard", "slot"} <= set(found.columns)
+    assert found.filter("text <> ''").count() == found.count() > 0
+
+
+def test_a_corpus_without_languages_stays(spark):
+    rows = [(1, "some words here", None), (2, None, None), (3, "12", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert corpus_pipeline.identify_languages(spark, docs, "").collect() == docs.collect()
+
+
+def test_a_text_of_three_languages_stays(spark):
+    rows = cases.read("/root/testdata/sf0.01")
+    long = {}
+    for r in rows:
+        if len(r["text"] or "") > 1500 and r["lang"]:
+            long.setdefault(r["lang"], r["text"][:700])
+    parts = list(long.values())[:3]
+    assert len(parts) == 3
+    learned = [(r["doc_id"], r["text"], r["lang"]) for r in rows]
+    docs = spark.createDataFrame(learned + [(-1, " ".join(parts), None), (-2, "?!", None)], "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.identify_languages(spark, docs, "").collect()}
+    assert -1 in kept and -2 not in kept
