@@ -9,16 +9,21 @@ a score of 1 means that all its terms are there, and one threshold serves all it
 The passages of a slice of texts are searched together: the WAND pivot rule picks the
 posting lists that are merged, block-maximum impacts bound the items met there, and
 only items whose bound reaches the threshold are scored.  Retrieved items are
-verified: the share of the question's and of the answer's word shingles that occur in the passage
-must both reach ``overlap``.
+verified: the share of the question's and of the answer's word shingles that occur in the
+passage must both reach ``overlap``.  Shingles have five words; in parts of fewer than 15
+words they have two, and of fewer than six, one, so that one changed word does not hide a
+short answer.
 
-An item's answer is what follows its last question mark, or else its last sentence, or
-else its last quarter.  The index is broadcast in blocks of at most ``INDEX_WORDS``
-words of items; a larger benchmark is searched block after block, over all texts.
+An item's answer is what follows its last question mark; an item without one is verified
+as a whole, and both shares are its own.  Postings with their impacts are a table in the
+shared folder, computed by Spark.  They are broadcast in blocks of about ``INDEX_WORDS``
+words of items; a larger benchmark is searched block after block, over all texts, and the
+leaks of a block are stored before the next one is loaded.
 
 Defined results: NULL or empty items and texts match nothing; repeated items are
-reported each; rows that repeat a doc_id are judged one by one; an empty benchmark or
-table gives no leaks; other columns are not read.
+reported each; rows that repeat a doc_id are judged one by one; very long texts are
+searched passage by passage to their end; an empty benchmark or table gives no leaks;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -54,14 +59,14 @@ _LEAKS_DDL = (
 
 
 def answer_start(text: str) -> int:
-    """Where the answer of an item begins, in characters."""
-    marks = [m.end() for m in re.finditer(r"[?¿]\s+", text)]
-    if not marks or not text[marks[-1] :].strip():
-        marks = [m.end() for m in re.finditer(r"[.!?]\s+(?=\S)", text)]
-    if marks:
-        return marks[-1]
-    words = list(re.finditer(r"\S+", text))
-    return words[len(words) - max(1, len(words) // 4)].start() if words else 0
+    """Where the answer of an item begins, in characters; 0 if it has no question."""
+    marks = [m.end() for m in re.finditer(r"[?¿]\s+(?=\S)", text)]
+    return marks[-1] if marks else 0
+
+
+def shingle_width(words: int) -> int:
+    """Words of a shingle, for a part of an item with so many words."""
+    return SHINGLE if words >= 3 * SHINGLE else 2 if words > SHINGLE else 1
 
 
 def _parse_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,14 +88,8 @@ def _parse_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingles(words: np.ndarray) -> np.ndarray:
-    """Hashes of the distinct runs of SHINGLE words (or of all words, if fewer)."""
-    n = min(SHINGLE, len(words))
-    if not n:
-        return np.zeros(0, np.uint64)
-    total = np.zeros(len(words) - n + 1, np.uint64)
-    for i in range(n):
-        total += words[i : i + len(total)] * W._ORDER[i]
-    return np.unique(W.mix(total))
+    """Hashes of the distinct shingles of a part of an item."""
+    return np.unique(_runs(words, shingle_width(len(words))))
 
 
 @dataclass
@@ -111,18 +110,13 @@ class Index:
     postings: np.ndarray  # term * number of items + item, ascending
 
     @staticmethod
-    def build(rows: list, df: dict[int, int], n_items: int, mean_words: float) -> Index:
+    def build(rows: list) -> Index:
+        """Index of items with their ``words`` and their ``postings`` (term, impact)."""
         words = [np.array(r["words"], np.int64).view(np.uint64) for r in rows]
-        term, item, impact = [], [], []
-        for i, w in enumerate(words):
-            t, tf = np.unique(w, return_counts=True)
-            often = np.array([df[int(x)] for x in t.view(np.int64)], float)
-            idf = np.log1p((n_items - often + 0.5) / (often + 0.5))
-            weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean_words))
-            term.append(t)
-            item.append(np.full(len(t), i))
-            impact.append(weight / weight.sum() if len(t) else weight)
-        term, item, impact = (np.concatenate(x) for x in (term, item, impact))
+        sizes = [len(r["postings"]) for r in rows]
+        item = np.repeat(np.arange(len(rows)), sizes)
+        term = np.array([p["term"] for r in rows for p in r["postings"]], np.int64).view(np.uint64)
+        impact = np.array([p["impact"] for r in rows for p in r["postings"]], float)
         order = np.lexsort((item, term))
         terms, starts = np.unique(term[order], return_index=True)
         starts = np.r_[starts, len(order)]
@@ -218,13 +212,10 @@ def _leaks_of(index: Index, texts: pa.Array, threshold: float, overlap: float) -
         a = int(words.first[row]) + (p - int(base[row])) * length
         b = min(a + 2 * length, int(words.first[row + 1]))
         if p != shown:
-            have, shown = {n: _runs(h[a:b], n) for n in range(1, SHINGLE + 1)}, p
+            have, shown = {n: _runs(h[a:b], n) for n in (1, 2, SHINGLE)}, p
         q = index.question[item]
-        question, answer = index.words[item][:q], index.words[item][q:]
-        shares = [
-            _overlap(have[min(SHINGLE, len(x))], _shingles(x)) if len(x) else 1.0
-            for x in (question, answer)
-        ]
+        parts = (index.words[item][:q], index.words[item][q:]) if q else (index.words[item],) * 2
+        shares = [_overlap(have[shingle_width(len(x))], _shingles(x)) for x in parts]
         if min(shares) >= overlap:
             old = best.get((row, item))
             if old is None or score > old[0]:
@@ -262,25 +253,38 @@ def _search(index: Index, threshold: float, overlap: float):
     return run
 
 
-def item_indexes(benchmark: DataFrame, index_words: int = INDEX_WORDS) -> Iterator[Index]:
-    """Indexes over blocks of items; document frequencies are those of all items."""
-    items = (
+def item_postings(benchmark: DataFrame) -> DataFrame:
+    """The stored items: ``item_id``, ``words``, ``question_words``, and their
+    ``postings``, each a term with its impact, from document frequencies over all items."""
+    items = materialize(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
         .mapInArrow(_parse_items, "item_id long, words array<long>, question_words int")
         .filter(F.size("words") > 0)
+        .withColumn("item", F.monotonically_increasing_id()),
+        "items",
+    )
+    n, mean = items.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
+    counted = (
+        items.select("item", F.size("words").alias("size"), F.explode("words").alias("term"))
+        .groupBy("item", "size", "term").agg(F.count(F.lit(1)).alias("tf"))
+    )
+    df = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = K1 * (1 - B + B * F.col("size") / F.lit(mean or 1.0))
+    weighed = counted.join(df, "term").select(
+        "item", "term", (idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("weight")
+    )
+    per_item = weighed.groupBy("item").agg(
+        F.sum("weight").alias("all"), F.collect_list(F.struct("term", "weight")).alias("terms")
+    )
+    postings = F.transform(
+        F.array_sort("terms"),
+        lambda t: F.struct(t["term"].alias("term"), (t["weight"] / F.col("all")).alias("impact")),
+    )
+    return materialize(
+        items.join(per_item, "item").select("item_id", "words", "question_words", postings.alias("postings")),
+        "item-postings",
     )
-    n, total = items.agg(F.count(F.lit(1)), F.sum(F.size("words").cast("long"))).first()
-    blocks = -(-(total or 0) // index_words)
-    distinct = items.select("item_id", "words", "question_words", F.array_distinct("words").alias("t"))
-    df = distinct.select(F.explode("t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    block = F.pmod(F.xxhash64("item_id", "words"), F.lit(max(blocks, 1)))
-    for k in range(blocks):
-        own = distinct.filter(block == k)
-        # Both are bounded by the words of one block of items.
-        rows = own.select("item_id", "words", "question_words").collect()
-        terms = own.select(F.explode("t").alias("term")).distinct().join(df, "term").collect()
-        if rows:
-            yield Index.build(rows, {r["term"]: r["df"] for r in terms}, n, total / n)
 
 
 def find_leaks(
@@ -294,11 +298,17 @@ def find_leaks(
     ``question_overlap``, ``answer_overlap``, ``first_word`` of the best passage."""
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    items = item_postings(benchmark)
+    total = items.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    blocks = -(-total // index_words)
+    block = F.pmod(F.xxhash64("item_id", "words"), F.lit(max(blocks, 1)))
     found = spark.createDataFrame([], _LEAKS_DDL)
-    for index in item_indexes(benchmark, index_words):
-        found = found.unionByName(
-            rows.mapInArrow(_search(index, threshold, overlap), _LEAKS_DDL)
-        )
+    for k in range(blocks):
+        own = items.filter(block == k).collect()  # about index_words words
+        if not own:
+            continue
+        leaks = rows.mapInArrow(_search(Index.build(own), threshold, overlap), _LEAKS_DDL)
+        found = found.unionByName(leaks if blocks == 1 else materialize(leaks, "block-leaks"))
     return found
 
 

@@ -1,6 +1,7 @@
 """Operators with small limits, so that every path for large inputs is taken."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -285,8 +286,13 @@ def test_wand_finds_what_full_scoring_finds():
         {"item_id": i, "words": rng.zipf(1.4, rng.integers(3, 40)).clip(max=400).tolist(), "question_words": 2}
         for i in range(300)
     ]
-    df = Counter(t for r in rows for t in set(r["words"]))
-    index = decontamination.Index.build(rows, df, 300, float(np.mean([len(r["words"]) for r in rows])))
+    for r in rows:
+        terms = sorted(set(r["words"]))
+        weights = rng.random(len(terms))
+        r["postings"] = [
+            {"term": t, "impact": w} for t, w in zip(terms, weights / weights.sum())
+        ]
+    index = decontamination.Index.build(rows)
     for threshold in (0.1, 0.4, 0.8):
         queries = [np.unique(rng.integers(0, len(index.terms), rng.integers(1, 60))) for _ in range(30)]
         number = np.repeat(np.arange(30), [len(q) for q in queries])
@@ -318,8 +324,77 @@ def test_leaks_with_the_index_in_blocks(spark):
 def test_answers():
     item = "What is it? A thing."
     assert item[decontamination.answer_start(item) :] == "A thing."
-    assert "One. Two three."[decontamination.answer_start("One. Two three.") :] == "Two three."
-    assert "a b c d"[decontamination.answer_start("a b c d") :] == "d"
+    for text in ("One. Two three.", "a b c d", "Only a question?  ", ""):
+        assert decontamination.answer_start(text) == 0
+    assert [decontamination.shingle_width(n) for n in (1, 5, 6, 14, 15)] == [1, 1, 2, 2, 5]
+
+
+def plain_leaks(docs, items, threshold=0.4, overlap=0.5):
+    """Every passage against every item, in plain Python."""
+    def split(text):
+        return re.findall("[0-9A-Za-z\x80-\U0010ffff]+", (text or "").lower())
+
+    def runs(words, n):
+        return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+    def share(passage, part):
+        n = decontamination.shingle_width(len(part))
+        return len(runs(part, n) & runs(passage, n)) / len(runs(part, n))
+
+    parsed = []
+    for i, text in items:
+        cut = decontamination.answer_start(text or "")
+        words, q = split(text), len(split((text or "")[:cut]))
+        if words:
+            parsed.append((i, words, (words[:q], words[q:]) if q else (words, words)))
+    n, mean = len(parsed), np.mean([len(w) for _, w, _ in parsed])
+    df = Counter(t for _, w, _ in parsed for t in set(w))
+    length = max(len(w) for _, w, _ in parsed)
+    weights = []
+    for _, words, _ in parsed:
+        own = {}
+        for t, tf in Counter(words).items():
+            idf = np.log1p((n - df[t] + 0.5) / (df[t] + 0.5))
+            own[t] = idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(words) / mean))
+        weights.append({t: w / sum(own.values()) for t, w in own.items()})
+    found = set()
+    for doc, text in docs:
+        words = split(text)
+        for at in range(0, max(1, len(words) - length), length) if words else ():
+            passage = words[at : at + 2 * length]
+            have = set(passage)
+            for (i, _, parts), own in zip(parsed, weights):
+                if sum(w for t, w in own.items() if t in have) >= threshold - 1e-9:
+                    if min(share(passage, x) for x in parts) >= overlap:
+                        found.add((doc, i))
+    return found
+
+
+def test_leaks_equal_plain_search(spark):
+    """Whole, edited and cut items, with and without questions, inside other texts."""
+    rng = random.Random(11)
+    some = [r["text"] for r in cases.read(DATA)[:30]]
+    items = [(b["item_id"], b["text"]) for b in cases.read(DATA, "benchmark")]
+    items += [(1000 + i, f"What is the name of {t.split('.')[0][:80]}? {rng.choice(['Blue', 'It is the old harbour bridge'])} {i}") for i, t in enumerate(some[:6])]
+    docs, planted = list(enumerate(some)), set()
+    for kind in ("whole", "edited", "cut"):
+        for i, text in items:
+            words = text.split()
+            if kind == "edited":
+                for _ in range(max(1, len(words) // 20)):
+                    words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            if kind == "cut" and i < 1000:
+                words = words[: int(len(words) * 0.8)]
+            doc = len(docs)
+            docs.append((doc, " ".join([rng.choice(some)[:300], *words, rng.choice(some)[:300]])))
+            planted.add((doc, i))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(frame, bench).collect()}
+    assert found == plain_leaks(docs, items)
+    recall = len(planted & found) / len(planted)
+    print("recall of planted leaks", recall)
+    assert recall >= 0.9
 
 
 def test_mixture_of_two_languages(spark):
