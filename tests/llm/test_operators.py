@@ -169,6 +169,40 @@ def test_exact_groups_with_small_buckets(spark):
         assert (r.keep_id, r.group_size, r.kept) == (max(own), len(own), r.doc_id == max(own))
 
 
+def test_batches_are_looked_up_and_inserted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "LEAST_HOT", 2)
+    rng = random.Random(12)
+    index = exact_dedup.ExactIndex(spark, str(tmp_path / "index"), bits=6, capacity=2000)
+    known, depths = {}, []
+    for number in range(3):
+        rows = [(number * 1000 + i, rng.choice(["Hot", "hot", f"t{rng.randrange(300)}"])) for i in range(200)]
+        rows += [(None, "no id"), (number * 1000 + 999, None)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        found = Counter((r.doc_id, r.keep_id, r.group_size) for r in index.lookup(frame).collect())
+        expected = Counter()
+        for i, t in rows:
+            ids = known.get((t or "").lower(), [])
+            expected[i, max((x for x in ids if x is not None), default=None), len(ids)] += 1
+        assert found == expected
+        index.insert(frame)
+        for i, t in rows:
+            known.setdefault((t or "").lower(), []).append(i)
+        depths.append(index.directory().select("bucket").distinct().count())
+    assert depths == sorted(depths) and depths[-1] > depths[0]
+
+
+def test_a_text_of_many_slices_is_one_row(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "LEAST_HOT", 2)
+    rows = [(i, "the same text " * 3 if i % 3 else f"own {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    entries = exact_dedup.page_entries(docs)
+    (hot,) = exact_dedup.distinct_entries(entries).filter("entries > 1").collect()
+    assert (hot.n, hot.top) == (2000, 2999) and hot.entries >= 30
+    found = exact_dedup.exact_groups(docs).filter("group_size > 1").collect()
+    assert {(r.keep_id, r.group_size) for r in found} == {(2999, 2000)} and len(found) == 2000
+    assert [r.doc_id for r in found if r.kept] == [2999]
+
+
 def test_colliding_hashes_are_chained(spark, monkeypatch):
     batch = pa.RecordBatch.from_pydict(
         {"hash": [1, 1, 1], "text": ["x", "y", "x"], "entry": [0, 1, 2], "top": [5, 6, 7], "n": [1, 2, 3]}
