@@ -14,8 +14,12 @@
    and pairs below ``least`` are dropped.  Long lists are counted inside tasks,
    block against block, and give only a forest of the retained pairs.
 4. Retained pairs form candidate components.  Inside each, similarities are computed
-   on the full sets; pairs that are already connected need no check.  A component
-   beyond ``block_shingles`` is cut into blocks, every two of which meet in a task.
+   on the full sets; pairs that are already connected need no check.
+
+Components beyond ``block_shingles``, and long lists, are cut into blocks.  Each block is
+linked inside itself, then with the first block, which is a sample of the group.  What is
+not connected to the group's largest class by then, usually little, meets every block.
+So the members of a family of copies travel twice or so, however large it is.
 
 No list or component is capped.  ``least`` is chosen so that a pair at the threshold
 falls below it with a probability under ``miss``.
@@ -28,7 +32,7 @@ and ``text`` are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import comb
 
@@ -239,13 +243,15 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _connect(n: int, compare) -> tuple[np.ndarray, np.ndarray]:
+def _connect(n: int, compare, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Forest of a similarity graph on n nodes; ``compare(i)`` gives the similar ones.
 
     Nodes of the largest component so far never need comparing with each other, so
-    only nodes outside it are compared with all.
+    only nodes outside it are compared with all.  Nodes with equal ``known`` labels are
+    connected from the start.
     """
-    label = np.arange(n)
+    _, first, code = np.unique(known, return_index=True, return_inverse=True)
+    label = first[code]
     left, right = [], []
     done = np.zeros(n, dtype=bool)
     while True:
@@ -275,7 +281,7 @@ def _long_list(least: int):
         def compare(i: int) -> np.ndarray:
             return np.flatnonzero((signature == signature[i]).sum(axis=1) >= least)
 
-        a, b = _connect(len(node), compare)
+        a, b = _connect(len(node), compare, table.column("label").to_numpy())
         return pa.table({"a": node[a], "b": node[b]})
 
     return run
@@ -285,10 +291,10 @@ def _verify(width: int, percent: int):
     """Exact links inside a candidate component (or two of its blocks)."""
 
     def run(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
         keys = table.column("set_key").to_pylist()
         seen: set[int] = set()
-        kept, sets = [], []
+        kept, known, sets = [], [], []
         texts = W.text_column(table, "text")
         for at, part in W.slices(texts):
             h, bounds = W.distinct_within(*W.shingles(W.split(part, lower=True), width))
@@ -297,6 +303,7 @@ def _verify(width: int, percent: int):
                 if node[row] not in seen and key.tobytes() == keys[row]:
                     seen.add(node[row])
                     kept.append(node[row])
+                    known.append(label[row])
                     sets.append(h[bounds[k] : bounds[k + 1]])
         sizes = np.array([len(s) for s in sets], dtype=np.int64)
         values, codes = np.unique(np.concatenate(sets), return_inverse=True)
@@ -312,29 +319,74 @@ def _verify(width: int, percent: int):
             near[i] = False
             return np.flatnonzero(near)
 
-        a, b = _connect(len(kept), compare)
+        a, b = _connect(len(kept), compare, np.array(known, dtype=np.int64))
         kept = np.array(kept, dtype=np.int64)
         return pa.table({"a": kept[a], "b": kept[b]})
 
     return run
 
 
-def in_blocks(members: DataFrame, group: str, weight: str, limit: int) -> DataFrame:
-    """Deal large groups out so that every two blocks meet: adds ``left``, ``right``.
+_PAIRS = "a long, b long"
+
+
+def links_in_groups(
+    members: DataFrame, group: str, weight: str, limit: int, load: Callable[[DataFrame], DataFrame],
+    compare: Callable[[pa.Table], pa.Table],
+) -> DataFrame:
+    """Forest of links (``a``, ``b``) among the members of each group.
 
-    Groups with a weight up to ``limit`` stay whole (0, 0).
+    ``members`` has ``node``, the group and a weight; ``load`` adds what ``compare`` needs
+    to link the rows of a task, which also have ``label``, equal for nodes that are known
+    to be connected.  A group above ``limit`` in weight is cut into blocks by a hash.
     """
     totals = members.groupBy(group).agg(F.sum(weight).alias("__total"))
-    blocks = F.ceil(F.col("__total") / F.lit(limit)).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int")
-    return (
-        members.join(totals.withColumn("__blocks", blocks), group)
-        .withColumn("__mine", F.when(F.col("__blocks") > 1, mine).otherwise(F.lit(0)))
-        .withColumn("__other", F.explode(F.sequence(F.lit(0), F.greatest("__blocks", F.lit(1)) - 1)))
-        .withColumn("left", F.least("__mine", "__other"))
-        .withColumn("right", F.greatest("__mine", "__other"))
-        .drop("__total", "__blocks", "__mine", "__other")
+    cut = materialize(
+        totals.withColumn("blocks", F.ceil(F.col("__total") / F.lit(limit)).cast("int"))
+        .filter("blocks > 1").select(group, "blocks"),
+        "large-groups",
+    )
+    large = not cut.isEmpty()
+    block = F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).cast("int")
+    dealt = members.join(cut, group, "left").withColumn("block", block)
+
+    def found(rows: DataFrame, name: str) -> DataFrame:
+        met = load(rows).groupBy(group, "one", "other").applyInArrow(compare, _PAIRS)
+        return materialize(met, name)
+
+    inside = dealt.withColumns({"one": F.col("block"), "other": F.col("block"), "label": F.col("node")})
+    links = found(inside, "links-inside")
+    if not large:
+        return links
+    dealt = materialize(dealt.filter("blocks > 1"), "large-members")
+
+    def labelled() -> DataFrame:
+        classes = components(links).select(F.col("node").alias("__node"), F.col("component").alias("__class"))
+        return dealt.join(classes, F.col("node") == F.col("__node"), "left").withColumn(
+            "label", F.coalesce("__class", "node")
+        ).drop("__node", "__class")
+
+    # The first block, a sample of the group, meets each of the others.
+    others = F.when(F.col("block") == 0, F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("block"))
+    sample = labelled().withColumns({"one": F.lit(0), "other": F.explode(others)})
+    links = links.unionByName(found(sample, "links-sample"))
+    # What is outside the largest class of its group meets every block.
+    known = materialize(labelled(), "large-labels")
+    sizes = known.groupBy(group, "label").agg(F.sum(weight).alias("__size"))
+    main = sizes.groupBy(group).agg(F.max_by("label", F.struct("__size", "label")).alias("main"))
+    marked = known.join(main, group).withColumn("rest", F.col("label") != F.col("main"))
+    left = marked.filter("rest").groupBy(group).agg(F.sum(weight).alias("__rest"))
+    parts = left.select(group, F.ceil(F.col("__rest") / F.lit(limit)).cast("int").alias("parts"))
+    marked = marked.join(parts, group)
+    every = marked.withColumn("one", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn(
+        "other", F.col("block")
     )
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
+    elsewhere = (
+        marked.filter("rest").withColumn("one", part)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .filter("other <> block")
+    )
+    return links.unionByName(found(every.unionByName(elsewhere), "links-rest"))
 
 
 def _row_key(doc_id: str, text_key) -> Column:
@@ -418,14 +470,10 @@ def near_duplicates(
         .filter(matches >= least)
         .select("a", "b")
     )
-    long_lists = (
-        in_blocks(
-            lists.filter(F.col("n") > short_list).select("token", "node", F.lit(1).alias("one")),
-            "token", "one", block_members,
-        )
-        .join(signature, "node")
-        .groupBy("token", "left", "right")
-        .applyInArrow(_long_list(least), "a long, b long")
+    long_lists = links_in_groups(
+        lists.filter(F.col("n") > short_list).select("token", "node", F.lit(1).alias("weight")),
+        "token", "weight", block_members,
+        lambda rows: rows.join(signature, "node"), _long_list(least),
     )
     candidates = components(retained.unionByName(long_lists))
     members = materialize(
@@ -447,12 +495,10 @@ def near_duplicates(
         )
         .filter("__candidate").groupBy("row_key").agg(F.any_value("text").alias("text"))
     )
-    dealt = in_blocks(members, "component", "n_shingles", block_shingles).join(texts, "row_key")
-    links = materialize(
-        dealt.select("component", "left", "right", "node", "set_key", "text")
-        .groupBy("component", "left", "right")
-        .applyInArrow(_verify(width, percent), "a long, b long"),
-        "links",
+    links = links_in_groups(
+        members.select("component", "node", "n_shingles", "row_key", "set_key"),
+        "component", "n_shingles", block_shingles,
+        lambda rows: rows.join(texts, "row_key"), _verify(width, percent),
     )
     classes = components(links)
     labelled = nodes.select("node", "set_key", "one").join(classes, "node")

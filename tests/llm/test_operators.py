@@ -53,6 +53,39 @@ def test_near_duplicates_in_blocks(spark, limits):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == expected
 
 
+def test_families_beyond_a_block(spark, monkeypatch):
+    """Large groups travel about twice, and no link is lost."""
+    rng = random.Random(21)
+    rows = near_copies(seed=4, groups=1, size=150, words=100)
+    # A second family that only a chain of copies links to the first one.
+    base = rows[0][1].split()
+    for step in range(12):
+        for k in range(9):
+            base[(step * 9 + k) % 100] = f"y{step}z{k}"
+        rows.append((len(rows), " ".join(base[:100]), "en", "s"))
+        rows.append((len(rows), " ".join([*base[:99], "z"]), "en", "s"))
+    rng.shuffle(rows)
+    loaded = []
+    real = near_dedup.links_in_groups
+
+    def counted(members, group, weight, limit, load, compare):
+        def count(frame):
+            out = load(frame)
+            loaded.append((group, out.count()))
+            return out
+
+        return real(members, group, weight, limit, count, compare)
+
+    monkeypatch.setattr(near_dedup, "links_in_groups", counted)
+    found = near_dedup.near_duplicates(
+        frame(spark, rows), width=3, percent=70, block_members=40, block_shingles=1500
+    )
+    expected = cases.near_classes([{"doc_id": i, "text": t} for i, t, *_ in rows], 3, 70)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == expected
+    copies = sum(n for group, n in loaded if group == "component")
+    assert copies < 5 * len(rows)  # eleven blocks; every two of them would be 12 times
+
+
 def test_least_matches_bounds_the_misses():
     from math import comb
 
