@@ -7,18 +7,19 @@ with a smaller position; the longer of the two common prefixes is the suffix's l
 previous factor, and the strings to remove start where it reaches ``length``.
 
 No machine holds the suffixes of all documents.  Two equal strings of ``length`` bytes
-hold the same run of ``GRAM`` bytes with the smallest hash, at the same place, so every
-start is sent to the bucket of that anchor and only suffixes of one bucket have to be
-sorted together.  Consecutive starts with one anchor travel as one string.  Of equal
+hold the same run of 32 bytes with the smallest hash, at the same place, so every start
+is sent to the bucket of that anchor and only suffixes of one bucket have to be sorted
+together.  Consecutive starts with one anchor travel as one string.  Of equal
 strings only the first travels on; the others are decided where they meet, in each
 slice of a task and while a bucket is read.  In a bucket, strings whose anchor no other
 string has drop out; the suffixes of the rest are sorted by words of eight bytes, which
 also gives their common prefixes.
 
 An anchor inside a passage of very many documents brings strings that differ at the
-passage's edges into one bucket.  Buckets that a sample of the documents puts above
-``bound`` bytes are dealt start by start, by a hash of the ``length`` bytes there, so
-that only equal ones meet.  The sample picks the way, never the result.
+passage's edges into one bucket.  Where a sample of the documents puts a bucket above ``bound``
+bytes, its starts are dealt by an anchor of 64 bytes, which far fewer texts share; where
+even that is not enough, start by start, by a hash of the ``length`` bytes there, so that
+only equal ones meet.  The sample picks the way, never the result.
 
 Defined results: NULL text is empty; a NULL doc_id counts as larger than all others;
 different rows with one doc_id are documents of their own, in order of a 64-bit hash of
@@ -44,7 +45,9 @@ from quern.llm.key_filter import maybe_in
 from quern.llm.substring_dedup import gather, ragged
 from quern.session import materialize
 
-GRAM = 32
+#: Bytes of an anchor (powers of two); buckets that are overfull go to the next level.
+GRAMS = (32, 64)
+GRAM = GRAMS[0]
 PIECE = 1 << 20
 POOL = 4 << 20
 BUCKET = 8 << 20
@@ -118,10 +121,10 @@ class Strings:
         return np.sort(order[new]), spans
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the ``GRAM`` bytes (a power of two) that start at each place."""
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes (a power of two) that start at each place."""
     h, width = W._BYTE[data], 1
-    while width < GRAM:
+    while width < gram:
         h = h[:-width] * W._ORDER[width.bit_length()] + h[width:]
         width *= 2
     return W.mix(h)
@@ -140,23 +143,25 @@ def least_places(hashes: np.ndarray, inside: int) -> np.ndarray:
     return (least & _PLACE).astype(np.int64)
 
 
-def anchored_strings(data, bounds, doc, key, offset: int, length: int) -> tuple[Strings, np.ndarray] | None:
+def anchored_strings(
+    data, bounds, doc, key, offset, length: int, gram: int = GRAM
+) -> tuple[Strings, np.ndarray] | None:
     """Strings of rows of bytes, and the hash of each one's anchor.
 
-    ``offset`` is the place in its document at which the first row starts.
+    ``offset`` has the place in its document at which each row starts.
     """
     whole = np.flatnonzero(np.diff(bounds) >= length)
     if not len(whole):
         return None
-    hashes = gram_hashes(data)
-    at = least_places(hashes, length - GRAM + 1)
+    hashes = gram_hashes(data, gram)
+    at = least_places(hashes, length - gram + 1)
     first = np.union1d(np.flatnonzero(at[1:] != at[:-1]) + 1, bounds[whole])
     row = np.searchsorted(bounds, first, "right") - 1
     last = np.minimum(np.r_[first[1:], len(data)] - 1, bounds[row + 1] - length)
     fits = np.flatnonzero(first <= last)
     first, last, row = first[fits], last[fits], row[fits]
     sizes = last - first + length
-    pos = first - bounds[row] + offset
+    pos = first - bounds[row] + offset[row]
     made = Strings(doc[row], key[row], pos, at[first] - first, sizes, gather(data, first, sizes))
     return made, hashes[at[first]]
 
@@ -181,7 +186,8 @@ def _pools(batches, length: int) -> Iterator[tuple[Strings, np.ndarray]]:
         held, size = [], 0
         for at, data, bounds, offset in pieces(W.text_column(batch, "text"), length):
             n = len(bounds) - 1
-            made = anchored_strings(data, bounds, doc[at : at + n], key[at : at + n], offset, length)
+            begins = np.full(n, offset)
+            made = anchored_strings(data, bounds, doc[at : at + n], key[at : at + n], begins, length)
             size += len(data)
             held += [made] if made else []
             if held and size >= POOL:
@@ -209,43 +215,80 @@ def _rows(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _weigh(length: int, buckets: int):
-    """Bytes that each pool of strings brings to each bucket."""
+def levels(length: int) -> list[int]:
+    return [g for g in GRAMS if g < length]
+
+
+def dealt_strings(
+    found: Strings, hashes: np.ndarray, length: int, buckets: int, splits: list[np.ndarray]
+) -> tuple[list[tuple[Strings, np.ndarray]], list[tuple]]:
+    """The strings of each level with their buckets, and the spans that are decided.
+
+    ``splits`` has the overfull buckets of each level; their strings go on to the next
+    level, all copies of a start alike.
+    """
+    out, decided = [], []
+    for level in range(len(splits) + 1):
+        rows, gone = found.firsts()
+        decided.append(gone)
+        kept = found.take(rows)
+        bucket = (hashes[rows] % np.uint64(buckets)).astype(np.int64)
+        hot = np.isin(bucket, splits[level]) if level < len(splits) else np.zeros(len(bucket), bool)
+        out.append((kept.take(np.flatnonzero(~hot)), bucket[~hot]))
+        if not hot.any():
+            break
+        found = kept.take(np.flatnonzero(hot))
+        if level + 1 < len(levels(length)):
+            gram = levels(length)[level + 1]
+            found, hashes = anchored_strings(
+                found.data, found.bounds, found.doc, found.key, found.pos, length, gram
+            )
+        else:
+            found, hashes = by_start(found, length)
+    return out, decided
+
+
+def _weigh(length: int, buckets: int, splits: list[np.ndarray]):
+    """Bytes that each pool of strings brings to each bucket of the last level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, hashes in _pools(batches, length):
-            rows, _ = found.firsts()
-            bucket, place = np.unique(hashes[rows] % np.uint64(buckets), return_inverse=True)
-            size = np.bincount(place, weights=found.sizes[rows]).astype(np.int64)
-            yield _rows(["bucket", "size"], bucket.astype(np.int64), size)
-            del found
+            out, _ = dealt_strings(found, hashes, length, buckets, splits)
+            if len(out) > len(splits):
+                strings, bucket = out[-1]
+                number, place = np.unique(bucket, return_inverse=True)
+                size = np.bincount(place, weights=strings.sizes, minlength=len(number))
+                yield _rows(["bucket", "size"], number, size.astype(np.int64))
+            del found, out
             W.give_back()
 
     return run
 
 
-def overfull(rows: DataFrame, length: int, buckets: int, bound: int, sample: int) -> np.ndarray:
-    """Buckets whose strings take more than about ``bound`` bytes: input / bound at most."""
+def overfull(
+    rows: DataFrame, length: int, buckets: int, bound: int, sample: int
+) -> list[np.ndarray]:
+    """Per level the buckets whose strings take more than about ``bound`` bytes: at most
+    what arrives there / ``bound``."""
     some = rows.filter(F.pmod(F.xxhash64("doc", "key"), F.lit(sample)) == 0)
-    sizes = some.mapInArrow(_weigh(length, buckets), "bucket long, size long")
-    large = sizes.groupBy("bucket").agg(F.sum("size").alias("n")).filter(F.col("n") > bound // sample)
-    return large.select("bucket").toArrow()["bucket"].to_numpy()
+    splits: list[np.ndarray] = []
+    while len(splits) < len(levels(length)):
+        sizes = some.mapInArrow(_weigh(length, buckets, splits), "bucket long, size long")
+        large = sizes.groupBy("bucket").agg(F.sum("size").alias("n")).filter(F.col("n") > bound // sample)
+        found = large.select("bucket").toArrow()["bucket"].to_numpy()
+        if not len(found):
+            break
+        splits.append(found)
+    return splits
 
 
-def _deal(length: int, buckets: int, split: np.ndarray):
+def _deal(length: int, buckets: int, splits: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["bucket", "decided", "packed"]
         for found, hashes in _pools(batches, length):
-            rows, gone = found.firsts()
-            kept, decided = found.take(rows), [gone]
-            bucket = (hashes[rows] % np.uint64(buckets)).astype(np.int64)
-            hot = np.isin(bucket, split)
-            if hot.any():
-                single, h = by_start(kept.take(np.flatnonzero(hot)), length)
-                rows, gone = single.firsts()
-                decided.append(gone)
-                kept = Strings.joined([kept.take(np.flatnonzero(~hot)), single.take(rows)])
-                bucket = np.r_[bucket[~hot], (h[rows] % np.uint64(buckets)).astype(np.int64)]
+            parts, decided = dealt_strings(found, hashes, length, buckets, splits)
+            kept = Strings.joined([s for s, _ in parts])
+            bucket = np.concatenate([b for _, b in parts])
             order = np.argsort(bucket, kind="stable")
             bucket, kept = bucket[order], kept.take(order)
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
@@ -264,7 +307,7 @@ def _deal(length: int, buckets: int, split: np.ndarray):
                 some = bucket[[int(doc[0] % len(bucket))]]
                 reply = Strings(doc, key, start, np.zeros(len(doc), np.int64), end - start, np.zeros(0, np.uint8))
                 yield _rows(names, some, np.ones(1, bool), [reply.pack()])
-            del found, kept, out
+            del found, kept, out, parts
             W.give_back()
 
     return run
@@ -428,9 +471,9 @@ def repeated_bytes(
     if buckets is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(tasks, 4 * size // BUCKET)
-    split = overfull(rows, length, buckets, bound, sample)
+    splits = overfull(rows, length, buckets, bound, sample)
     return (
-        rows.mapInArrow(_deal(length, buckets, split), "bucket long, decided boolean, packed binary")
+        rows.mapInArrow(_deal(length, buckets, splits), "bucket long, decided boolean, packed binary")
         .repartition(max(tasks, min(buckets, 20_000)), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_judge(length), "doc long, key long, start long, end long")

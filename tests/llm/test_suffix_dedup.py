@@ -131,9 +131,10 @@ def test_edges_of_a_frequent_passage_are_dealt_by_start(spark):
     frame = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], KIND).repartition(4)
     keyed, largest = suffix.keyed(frame), {}
     for bound in (1 << 40, 1 << 12):
-        split = suffix.overfull(keyed, 100, 512, bound, 1)
+        splits = suffix.overfull(keyed, 100, 512, bound, 1)
+        assert len(splits) == (2 if bound < 1 << 40 else 0)  # both levels of anchors
         size = Counter()
-        dealt = keyed.mapInArrow(suffix._deal(100, 512, split), "bucket long, decided boolean, packed binary")
+        dealt = keyed.mapInArrow(suffix._deal(100, 512, splits), "bucket long, decided boolean, packed binary")
         for r in dealt.filter("not decided").collect():
             size[r.bucket] += len(suffix.Strings.unpack(bytes(r.packed)).data)
         largest[bound] = max(size.values())
@@ -141,6 +142,16 @@ def test_edges_of_a_frequent_passage_are_dealt_by_start(spark):
     assert run(spark, rows, buckets=512, bound=1 << 12, sample=1) == expected(ordered(spark, rows))
 
 
+def test_long_frequent_passages_go_by_longer_anchors(spark):
+    rng = random.Random(14)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, f"{i:080d}" + passage[: 50 + i % 300] + f"{-i:080d}") for i in range(600)]
+    frame = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], KIND).repartition(4)
+    for bound in (1 << 12, 1 << 14):
+        assert suffix.overfull(suffix.keyed(frame), 100, 512, bound, 1)
+        assert run(spark, rows, buckets=512, bound=bound, sample=1) == expected(ordered(spark, rows))
+
+
 def test_previous_factors_of_a_suffix_array():
     rng = random.Random(5)
     for _ in range(30):
