@@ -18,18 +18,25 @@ def create_table_as(
 ) -> DataFrame:
     """Create table ``name`` with the rows and schema of ``df``.
 
-    An existing table is an error unless ``replace`` is set, in which case it is
-    dropped first.  With ``path`` the table is external.
+    An existing table is an error unless ``replace`` is set: then the new rows are
+    written in full under a draft name, which takes the old table's place, so a write
+    that dies leaves the old table.  With ``path`` the table is external, and one that is
+    replaced should get a new path: then only the catalog entry is exchanged.
     """
     spark = df.sparkSession
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    draft = replace and spark.catalog.tableExists(name)
+    target = f"{name}__draft" if draft else name
+    if draft:
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
     writer = df.write.format("parquet").mode("errorifexists")
     if path is not None:
         writer = writer.option("path", path)
     if compression is not None:
         writer = writer.option("compression", compression)
-    writer.saveAsTable(name)
+    writer.saveAsTable(target)
+    if draft:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {target} RENAME TO {name}")
     return spark.table(name)
 
 

@@ -211,3 +211,16 @@ def test_tables_of_a_database(spark, tables, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     create_table_as(tables.region, "shop.region", str(tmp_path / "r"), replace=True)
     assert Tables(spark, database="shop").region.count() == 5
+
+
+def test_a_replacement_that_dies_leaves_the_old_table(spark, tmp_path):
+    create_table_as(spark.range(3), "made_safe", replace=True)
+    broken = spark.range(3).select(F.raise_error(F.lit("stop")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        create_table_as(broken, "made_safe", replace=True)
+    assert spark.table("made_safe").count() == 3
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf")
+    for n in (5, 4):
+        assert create_table_as(spark.range(n), "shelf.made_safe", replace=True).count() == n
+    assert create_table_as(spark.range(7), "made_safe", replace=True).count() == 7
+    assert spark.table("shelf.made_safe").count() == 4
