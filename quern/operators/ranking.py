@@ -132,10 +132,11 @@ def top_with_position(
     names = [name for name, _ in position]
     best = df.orderBy(*sort_columns(pick)).limit(count)
     in_order = F.array_sort(
-        F.collect_list(F.struct(*names)),
+        F.collect_list(F.struct(*df.columns)),
         lambda a, b: F.when(_precedes(a, b, position), -1).when(_precedes(b, a, position), 1).otherwise(0),
     )
-    marks = best.agg(in_order).scalar()
+    picked = best.agg(in_order.alias("__rows"))
+    marks = picked.select(F.transform("__rows", lambda r: F.struct(*[r[n].alias(n) for n in names]))).scalar()
     here = F.struct(*names)
 
     def not_after(at: Column) -> Column:
@@ -160,9 +161,9 @@ def top_with_position(
     ahead = slots.select(
         "__slot", F.coalesce(F.sum("__rows").over(higher), F.lit(0)).alias("__ahead")
     )
+    placed = picked.select(F.size("__rows").alias("__n"), F.posexplode("__rows").alias("__at", "__row"))
     return (
-        best.withColumn("__marks", marks)
-        .withColumn("__slot", slot)
+        placed.select((F.col("__n") - F.col("__at") - 1).alias("__slot"), "__row.*")
         .join(ahead, "__slot")
         .select(*df.columns, (F.col("__ahead") + 1).alias(column))
     )
