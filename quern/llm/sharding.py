@@ -119,14 +119,14 @@ def number_rows(sized: DataFrame, placement: DataFrame, order: list[str]) -> Dat
     """
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
     starts = placement.select(
-        "vslot", "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")
+        "vslot", "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__start")
     )
     inside = Window.partitionBy("vslot").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return (
-        sized.withColumn("place", F.row_number().over(inside))
+        sized.withColumn("__place", F.row_number().over(inside))
         .join(F.broadcast(starts), "vslot")
-        .withColumn("slot", F.col("start") + F.col("place") - 1)
-        .drop("start", "place")
+        .withColumn("slot", F.col("__start") + F.col("__place") - 1)
+        .drop("__start", "__place")
     )
 
 
