@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import words as W
+from quern.llm.key_filter import maybe_in
 from quern.session import materialize
 from quern.sources.versions import read_file, replace_file
 
@@ -235,6 +236,49 @@ def owned_groups(
     )
 
 
+def _with_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct texts from rows in order of hash and digest, in which the counts of a text
+    come before the text itself; texts of other entries are passed over."""
+    names = ["hash", "text_sha256", "text", "entry", "top", "n"]
+    counts = None
+    for batch in batches:
+        rows = []
+        for h, digest, text, entry, top, n in zip(*(batch.column(c).to_pylist() for c in names)):
+            if n is not None:
+                counts = (h, digest, entry, top, n)
+            elif counts is not None and counts[:3] == (h, digest, entry):
+                rows.append((h, text, entry, *counts[3:]))
+        columns = zip(*rows) if rows else [()] * 5
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["hash", "text", "entry", "top", "n"]
+        )
+
+
+def settled_groups(
+    entries: DataFrame, distinct: DataFrame, directory: DataFrame, bits: int, owners: int
+) -> DataFrame:
+    """Like ``owned_groups``, for the pages of a batch: counts and texts travel to their
+    owner side by side.  A filter of fixed size keeps back texts of entries that do not
+    stand for their group, so a frequent text travels about once."""
+    none = F.lit(None).cast("long")
+    texts = maybe_in(
+        entries.select("hash", "text_sha256", "text", "entry"), distinct, ["entry"], "stands"
+    ).filter("stands").select("hash", "text_sha256", "text", "entry", none.alias("top"), none.alias("n"))
+    counts = distinct.select(
+        "hash", "text_sha256", F.lit(None).cast("string").alias("text"), "entry", "top", "n"
+    )
+    found = (
+        texts.unionByName(counts).withColumn("slot", _slot(bits))
+        .join(F.broadcast(directory), "slot")  # 2 ** bits rows of 24 bytes at most
+        .repartition(owners, "owner")
+        .sortWithinPartitions("bucket", "hash", "text_sha256", F.col("n").isNull())
+        .select("hash", "text_sha256", "text", "entry", "top", "n")
+        .mapInArrow(_with_texts, "hash long, text string, entry long, top long, n long")
+    )
+    return found.mapInArrow(_own, "entry long, keep_id long, group_size long, holds boolean").drop("holds")
+
+
 def _per_entry(entries: DataFrame, groups: DataFrame, columns: list[str]) -> DataFrame:
     """Entries next to their group by hash and digest.
 
@@ -263,8 +307,7 @@ def exact_groups(
     entries = page_entries(documents)
     distinct = materialize(distinct_entries(entries), "distinct-texts")
     directory = directory_table(spark, slot_sizes(distinct, bits), capacity, owners)
-    texts = entries.select("entry", "text").join(distinct, "entry")
-    settled = owned_groups(texts, directory, bits, owners)
+    settled = settled_groups(entries, distinct, directory, bits, owners)
     groups = materialize(
         distinct.select("hash", "text_sha256", "entry", "entries", "holder").join(settled, "entry"),
         "groups",
