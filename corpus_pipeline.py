@@ -14,14 +14,16 @@ from quern.llm.shipping import ship
 from quern.session import materialize
 
 SHARDS = 8
+#: Nats a letter by which a text may fall behind chance: rare letters do, in a small corpus.
+LEAST_EVIDENCE = -1.0
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without an identified language; fill in missing languages.
 
     A document goes when it has no letter (NULL, empty or of other characters), or when
-    no mixture of the known languages explains its letters better than chance.  How many
-    languages it mixes does not matter.  The languages are learned from the column
+    every mixture of the known languages explains its letters far worse than chance.  How
+    many languages it mixes does not matter.  The languages are learned from the column
     ``lang``; if no row has one, nothing can be told and all rows stay.  Repeated rows,
     rows without or with equal doc_ids and very long texts are judged by their whole
     text like any other; an empty table gives an empty one; all columns pass through.
@@ -31,7 +33,7 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     if not model.languages:
         return docs
     found = language_id.identify(docs, model)
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("evidence") > 0)
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("evidence") > LEAST_EVIDENCE)
     return (
         found.filter(known)
         .withColumn("lang", F.coalesce("lang", "lang_pred"))
