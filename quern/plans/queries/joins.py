@@ -133,10 +133,14 @@ def _opposite_skew(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query(_SKEW_SQL.format(where=""))
 def join_skew(spark: SparkSession, t: Tables) -> DataFrame:
-    """Adaptive execution splits the partition of a frequent key by map task and
-    pairs every piece with the few rows of the other side."""
+    """The few rows of a frequent key's other side go to the tasks that read its many.
+
+    Tables too small for that are left to adaptive execution, which splits the
+    partition of a frequent key by map task; it goes by compressed bytes, so it would
+    let millions of such narrow rows meet in one task.
+    """
     left, right = _opposite_skew(t)
-    return left.join(right, F.col("c") == F.col("d")).select("c", "o_orderkey", "event_id")
+    return skew_join(left, right, ["c"], ["d"]).select("c", "o_orderkey", "event_id")
 
 
 @query(_SKEW_SQL.format(where="WHERE c = 2"))

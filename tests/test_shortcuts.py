@@ -2,6 +2,7 @@
 
 import pyarrow.parquet as pq
 import pytest
+from __spark_entry__ import queries
 from conftest import plan_text, rows
 from pyspark.sql import functions as F
 
@@ -39,6 +40,53 @@ def test_frequent_on_both_sides(spark, conf, how):
     assert sum(counts) == 601 * 400 and max(counts) < 601 * 400 / 2
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("swapped", [False, True])
+def test_few_rows_go_to_the_many(spark, conf, how, swapped):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    many = [(7, f"m{i}") for i in range(900)] + [(9, "alone")] * 300 + [(None, "n")] * 300
+    few = [(7, "f0"), (7, "f1"), (3, "g"), (None, "n")]
+    left, right = (few, many) if swapped else (many, few)
+    left = spark.createDataFrame(left, "a int, x string").repartition(6)
+    right = spark.createDataFrame(right, "b int, y string").repartition(6)
+    found = skew_join(left, right, ["a"], ["b"], how, rows=100)
+    plain = left.join(right, F.col("a") == F.col("b"), how)
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    assert "__left" not in plan_text(found) and "BroadcastHashJoin" in plan_text(found)
+    joined = found.filter("a = 7").groupBy(F.spark_partition_id()).count()
+    counts = [r["count"] for r in joined.collect()]
+    assert sum(counts) == 1800 and max(counts) < 900
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_more_than_few_rows_are_cut(spark, conf, how, monkeypatch):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr("quern.operators.skew.FEW_ROWS", 1)
+    left = spark.createDataFrame([(7, i) for i in range(900)] + [(8, 0)] * 300, "a int, x int")
+    right = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "b int, y int")
+    found = skew_join(left, right, ["a"], ["b"], how, rows=100)
+    plain = left.join(right, F.col("a") == F.col("b"), how)
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    assert "__left" in plan_text(found)
+
+
+@pytest.mark.parametrize("name", ["join_skew"])
+def test_opposite_frequent_keys_spread(spark, tmp_path, conf, name):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__files__openCostInBytes="64m")
+    for table, key in (("orders", "o_orderkey"), ("events", "event_id")):
+        made = spark.range(40_000).withColumnRenamed("id", key)
+        made.repartition(8).write.parquet(str(tmp_path / f"{table}.parquet"))
+    found = queries()[name](spark, str(tmp_path))
+    per_task = found.groupBy("c", F.spark_partition_id()).count()
+    counts = {}
+    for row in per_task.collect():
+        counts.setdefault(row["c"], []).append(row["count"])
+    assert {c: sum(n) for c, n in counts.items()} == (
+        {1: 39_999, 2: 39_999} if name == "join_skew" else {2: 39_999}
+    )
+    assert all(max(n) < 20_000 for n in counts.values())
+
+
 def test_ordinary_keys_join_as_usual(spark):
     left, right = two_sided(spark, 3, 3)
     assert "__left" not in plan_text(skew_join(left, right, ["a"], ["b"], rows=1000))
