@@ -148,11 +148,11 @@ def join_skew_one_key(spark: SparkSession, t: Tables) -> DataFrame:
     """One key only, so it is filtered on both sides before the join.
 
     For a computed key the optimizer does not carry the filter over by itself.
-    What is left of the rare side is small, and is broadcast once that is known.
+    What is left of the rare side is small, and is broadcast once it has been counted.
     """
     left, right = _opposite_skew(t)
-    both = left.filter(F.col("c") == 2).join(
-        right.filter(F.col("d") == 2), F.col("c") == F.col("d")
+    both = skew_join(
+        left.filter(F.col("c") == 2), right.filter(F.col("d") == 2), ["c"], ["d"]
     )
     return both.select("c", "o_orderkey", "event_id")
 

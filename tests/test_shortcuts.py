@@ -70,7 +70,7 @@ def test_more_than_few_rows_are_cut(spark, conf, how, monkeypatch):
     assert "__left" in plan_text(found)
 
 
-@pytest.mark.parametrize("name", ["join_skew"])
+@pytest.mark.parametrize("name", ["join_skew", "join_skew_one_key"])
 def test_opposite_frequent_keys_spread(spark, tmp_path, conf, name):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__files__openCostInBytes="64m")
     for table, key in (("orders", "o_orderkey"), ("events", "event_id")):
