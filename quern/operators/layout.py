@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.ranking import number_copies
@@ -117,36 +118,73 @@ def layout_report(
     )
 
 
-def target_pieces(
-    df: DataFrame, partition: str, listed: list, schema, target_bytes: int
+@contextmanager
+def unsorted_files(spark: SparkSession) -> Iterator[None]:
+    """Inside, a task writes the rows of its first partition value as they come.
+
+    Otherwise a write by partition sorts each task's rows by that value first, and so
+    holds all rows of a file in memory.  A task that meets another value still does
+    from there on.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(max(1, int(before or 0))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+def dealt_pieces(
+    df: DataFrame, partition: str, listed: Sequence[tuple], schema
 ) -> DataFrame:
-    """The rows of the listed partitions, dealt so that each has files of target size.
+    """The rows of the listed partitions, each cut into its number of pieces.
 
-    ``listed`` has a partition value and its bytes per row.  A partition is cut into as
-    many pieces as it needs files, by the place of a row in its old file: pieces are even
-    whatever the rows hold, and a task that runs again gets the same rows.
+    ``listed`` has a partition value and its pieces per row, at most one per directory, and
+    ``schema`` the type of the value first.  A row's piece goes by its place in its file:
+    pieces are even whatever the rows hold, and a task that runs again gets the same rows.
+    Every piece has a task of its own.
     """
-    files = F.greatest(F.ceil(F.col("total_bytes") / target_bytes), F.lit(1))
-    todo = df.sparkSession.createDataFrame(listed, schema).select(
-        F.col(partition).alias("__value"), files.alias("__files")
-    )
-    values = [row[partition] for row in listed]
+    firsts, needed = [], 0
+    for value, files in listed:
+        firsts.append((value, files, needed))
+        needed += files
+    kind = schema[0].dataType.simpleString()
+    todo = df.sparkSession.createDataFrame(firsts, f"__value {kind}, __files long, __first long")
+    values = [value for value, _ in listed]
     key = F.col(partition)
     wanted = key.isin([v for v in values if v is not None])
     if None in values:
         wanted = wanted | key.isNull()
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     pieces = df.filter(wanted).select("*", place.alias("__place")).join(
-        todo, key.eqNullSafe(F.col("__value"))
+        F.broadcast(todo), key.eqNullSafe(F.col("__value"))
     )
-    needed = sum(max(1, -(-row["total_bytes"] // target_bytes)) for row in listed)
+    piece = (F.col("__first") + F.pmod("__place", "__files")).cast("int")
     return (
-        pieces.withColumn("__piece", F.pmod("__place", "__files"))
-        .repartition(int(needed), partition, "__piece")
+        pieces.select(*df.columns, piece.alias("__piece"))
+        .repartitionById(needed, "__piece")
         .select(*df.columns)
     )
 
 
+def target_pieces(
+    df: DataFrame, partition: str, listed: list, schema, target_bytes: int
+) -> DataFrame:
+    """The rows of the listed partitions, dealt so that each has files of target size.
+
+    ``listed`` has a partition value and its bytes per row.  A partition is cut into as
+    many pieces as it needs files.
+    """
+    files = [
+        (row[partition], int(max(1, -(-row["total_bytes"] // target_bytes)))) for row in listed
+    ]
+    return dealt_pieces(df, partition, files, schema)
+
+
 def compact(
     df: DataFrame, path: str, partition: str, target_bytes: int = TARGET_BYTES
 ) -> list:
@@ -163,9 +201,9 @@ def compact(
     if not listed:
         return []
     spark, fresh = df.sparkSession, f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    target_pieces(df, partition, listed, todo.schema, target_bytes).write.partitionBy(
-        partition
-    ).parquet(fresh)
+    pieces = target_pieces(df, partition, listed, todo.schema, target_bytes)
+    with unsorted_files(spark):
+        pieces.write.partitionBy(partition).parquet(fresh)
     # The files exist in full now; moving the folders reads and writes no row.
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

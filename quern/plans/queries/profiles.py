@@ -133,27 +133,37 @@ def covering_extract(spark: SparkSession, t: Tables) -> DataFrame:
 def layout_report(spark: SparkSession, t: Tables) -> DataFrame:
     """Report on a table with one shredded partition, before and after compaction.
 
-    The number of files follows the session's shuffle partitions, so it grows with
-    the data.  The target is at least four times a file of the shredded part.
+    The number of its files follows the session's shuffle partitions, so it grows with
+    the data; the others have files of the target size or more.  The target is at least
+    four times a file of the shredded part.
     """
     path = shared_folder(spark, "lines-by-flag")
     columns = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
     lines, flag = t.lineitem.select(*columns), F.col("l_returnflag")
+    kind = lines.select("l_returnflag").schema
+
+    def write(files: list[tuple]) -> DataFrame:
+        if files:
+            pieces = layout.dealt_pieces(lines, "l_returnflag", files, kind)
+            with layout.unsorted_files(spark):
+                pieces.write.mode("append").partitionBy("l_returnflag").parquet(path)
+        return spark.read.schema(lines.schema).parquet(path)
+
     parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shredded = lines.filter(flag == "R").repartition(max(12, 2 * parallel))
-    whole = lines.filter(~flag.eqNullSafe("R")).repartition(max(1, parallel // 32))
-    shredded.unionByName(whole).write.partitionBy("l_returnflag").parquet(path)
-
-    stored = spark.read.parquet(path)
-    sizes = layout.file_sizes(stored.filter(flag == "R"), "l_returnflag")
-    average = sizes.agg(F.avg("bytes")).first()[0] or 0
-    target = max(layout.TARGET_BYTES, int(4 * average))
+    shredded = write([("R", max(12, 2 * parallel))])
+    made = layout.file_sizes(shredded, "l_returnflag").agg(
+        F.avg("bytes").alias("average"), (F.sum("bytes") / F.sum("n_rows")).alias("width")
+    ).first()
+    target = max(layout.TARGET_BYTES, int(4 * (made["average"] or 0)))
+    in_file = target / (made["width"] or 24)  # rows; three columns of 8 bytes if none is known
+    counts = lines.filter(~flag.eqNullSafe("R")).groupBy(flag).count().collect()
+    stored = write([(v, max(1, int(n / in_file))) for v, n in counts])
     before = layout.layout_report(stored, "l_returnflag", target).select(
         F.col("l_returnflag").alias("flag"), F.col("action").alias("first_action")
     )
     before = materialize(before, "layout-report")
     layout.compact(stored, path, "l_returnflag", target)
-    after = layout.layout_report(spark.read.parquet(path), "l_returnflag", target)
+    after = layout.layout_report(write([]), "l_returnflag", target)
     return after.join(before, F.col("l_returnflag").eqNullSafe(F.col("flag"))).select(
         "l_returnflag", "n_rows", "first_action", F.col("action").alias("second_action")
     )

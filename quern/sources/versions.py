@@ -18,7 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quern.operators.layout import TARGET_BYTES, layout_report, target_pieces
+from quern.operators.layout import (
+    TARGET_BYTES,
+    layout_report,
+    target_pieces,
+    unsorted_files,
+)
 
 _POINTER = "_current.json"
 
@@ -151,7 +156,8 @@ class VersionedTable:
         if not listed:
             return []
         pieces = target_pieces(stored, partition, listed, todo.schema, target_bytes)
-        fresh = self._write(pieces, partition)
+        with unsorted_files(self.spark):
+            fresh = self._write(pieces, partition)
         names = {f.split("/")[0] for f in fresh}
         old = [f for f in entry["folders"] if f.split("/")[0] not in names]
         self._switch(state, old + fresh, entry["schema"], partition)

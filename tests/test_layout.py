@@ -1,6 +1,7 @@
 """Files on storage: order, buckets, compaction."""
 
-from conftest import plan_text, rows
+from __spark_entry__ import queries
+from conftest import DATA, plan_text, rows
 from pyspark.sql import functions as F
 
 from quern.operators import layout
@@ -109,3 +110,53 @@ def test_compaction_of_the_partition_without_value(spark, tmp_path):
     assert sorted(map(tuple, after.collect()), key=str) == sorted(
         map(tuple, table.collect()), key=str
     )
+
+
+def test_every_piece_has_a_task_of_its_own(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "t")
+    table = spark.range(8_000).select("id", (F.col("id") % 2).alias("kind"))
+    table.repartition(4).write.partitionBy("kind").parquet(path)
+    stored = spark.read.parquet(path)
+    listed = spark.createDataFrame([(0, 500), (1, 1100)], "kind int, total_bytes bigint")
+    pieces = layout.target_pieces(stored, "kind", listed.collect(), listed.schema, 100)
+    assert "Sort" not in plan_text(pieces)
+    per_task = pieces.groupBy(F.spark_partition_id(), "kind").count().collect()
+    assert sorted(r.kind for r in per_task) == [0] * 5 + [1] * 11
+    assert len({r[0] for r in per_task}) == 16
+    assert all(r["count"] < 2 * 4_000 / (5 if r.kind == 0 else 11) for r in per_task)
+    assert rows(pieces.select("id")) == rows(table.select("id"))
+
+
+def test_unsorted_files(spark, tmp_path):
+    name, path = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "t")
+    spark.sql(
+        f"CREATE TABLE pieces_of (id BIGINT, kind INT) USING parquet "
+        f"PARTITIONED BY (kind) LOCATION '{path}'"
+    )
+    insert = "EXPLAIN INSERT INTO pieces_of SELECT id, CAST(id % 2 AS INT) FROM range(9)"
+    assert "Sort" in spark.sql(insert).first()[0]
+    with layout.unsorted_files(spark):
+        assert "Sort" not in spark.sql(insert).first()[0]
+        with layout.unsorted_files(spark):
+            pass
+        assert spark.conf.get(name) == "1"
+    assert "Sort" in spark.sql(insert).first()[0]
+    spark.sql("DROP TABLE pieces_of")
+
+
+def test_whole_partitions_stay_whole_with_many_shuffle_partitions(spark, conf):
+    conf(spark__sql__shuffle__partitions="320")
+    found = queries()["layout_report"](spark, DATA)
+    assert {r.l_returnflag: (r.first_action, r.second_action) for r in found.collect()} == {
+        "A": ("keep", "keep"), "N": ("keep", "keep"), "R": ("rebuild", "keep"),
+    }
+
+
+def test_report_without_a_shredded_partition(spark, tables, tmp_path):
+    lines = tables.lineitem.filter("l_returnflag IS DISTINCT FROM 'R'")
+    lines = lines.withColumn("l_returnflag", F.expr("nullif(l_returnflag, 'N')"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = queries()["layout_report"](spark, str(tmp_path))
+    counts = {r.l_returnflag: r.n_rows for r in found.filter("first_action = 'keep'").collect()}
+    assert counts == {r[0]: r[1] for r in lines.groupBy("l_returnflag").count().collect()}
