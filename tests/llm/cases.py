@@ -127,3 +127,20 @@ def without_repeats(rows, window=13):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def broadcast_rows(frame):
+    """Rows of each broadcast of a frame that has run."""
+    found, left = [], [frame._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            left.append(node.plan())
+        elif kind == "BroadcastExchangeExec":
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found

@@ -89,6 +89,25 @@ def test_mix_takes_words_of_its_input(stages):
         assert abs(sum(taken.values()) / total - 1.5) < 0.15
 
 
+@pytest.mark.parametrize("long", [False, True])
+def test_mix_sends_no_blocks_through_the_driver(spark, long):
+    """A list of two sources is small; the blocks it asks for, or a long text has, are not."""
+    n = 1 if long else 1500
+    text = " ".join(f"w{i}" for i in range(100_000 if long else 60))
+    rows = [(i, f"{text} {s}{i}", "en", s, 0) for i in range(n) for s in "ab"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.mix_sources(spark, materialize(docs, "docs"), "")
+    found = mixed.collect()
+    sizes = Counter({s: n * len(cases.words(f"{text} end")) for s in "ab"})
+    taken = Counter()
+    for r in found:
+        taken[r.source] += len(cases.words(r.text))
+    assert abs(taken["a"] - 2 * sizes["a"]) <= 128  # weighs 3 and is taken twice at most
+    assert abs(taken["b"] - sizes["b"]) <= 128  # the rest of 150 %
+    used = sum(sizes.values()) * 1.5 / 128
+    assert max(cases.broadcast_rows(mixed), default=0) < used / 2
+
+
 def test_every_mixed_row_has_a_place(stages):
     before, after = stages[1][4]
     assert Counter((i, cases.crc(t)) for i, t in texts(before)) == Counter(
