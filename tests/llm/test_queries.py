@@ -162,6 +162,18 @@ def test_mix(spark, awkward, given):
     assert Counter(map(tuple, rows)) == Counter(map(tuple, run(spark, 6, folder).collect()))
 
 
+@pytest.mark.parametrize("n, length", [(2000, 100), (3, 100_000)])
+def test_mix_sends_no_slots_through_the_driver(spark, tmp_path, n, length):
+    text = " ".join(f"w{i}" for i in range(length))
+    folder = cases.write(tmp_path, [(i, f"{text} {i}", "en", "ab"[i % 2]) for i in range(n)])
+    mixed = run(spark, 6, folder)
+    taken = sum(r.taken for r in mixed.collect())
+    words = n * (length + 1)
+    assert abs(taken - 1.5 * words) <= 2 * mixing.BLOCK
+    # Sums by document may be broadcast where they turn out small; there are more slots.
+    assert max(cases.broadcast_rows(mixed), default=0) <= n < taken / mixing.BLOCK
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
